@@ -1,0 +1,14 @@
+"""Registered queries over the driver's tables."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("model_queries",)
+
+
+def all_entries():
+    from registry.base import ENTRIES
+    for module in MODULES:
+        importlib.import_module(f"registry.{module}")
+    return dict(ENTRIES)
