@@ -6,32 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
-from hazeframe.functions.aqi import _col
+from hazeframe.functions.aqi import _col, sql_string, sql_strings
+
+
+def _literal(x) -> str:
+    return sql_string(x) if isinstance(x, str) else repr(x) + ("D" if isinstance(x, float) else "")
 
 
 def lookup(key: Column, table: dict, default: Column | None = None) -> Column:
     """Literal-map lookup, constant-folded by the optimizer."""
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    found = F.create_map(*pairs)[key]
+    pairs = ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in table.items())
+    found = F.expr(f"map({pairs})")[key]
     return found if default is None else F.coalesce(found, default)
 
 
-def region_8(province) -> Column:
-    p = _col(province)
-    out = None
-    for region, provinces in fv.REGION_8.items():
-        hit = p.isin(provinces)
-        out = F.when(hit, region) if out is None else out.when(hit, region)
-    return out.otherwise(fv.REGION_UNKNOWN)
+def _region(province: str, groups: dict[str, list[str]]) -> Column:
+    arms = " ".join(f"WHEN {province} IN ({sql_strings(members)}) THEN {sql_string(r)}" for r, members in groups.items())
+    return F.expr(f"CASE {arms} ELSE {sql_string(fv.REGION_UNKNOWN)} END")
 
 
-def region_3(province) -> Column:
-    p = _col(province)
-    out = None
-    for region, parts in fv.REGION_3.items():
-        hit = p.isin([x for part in parts for x in fv.REGION_8[part]])
-        out = F.when(hit, region) if out is None else out.when(hit, region)
-    return out.otherwise(fv.REGION_UNKNOWN)
+def region_8(province: str) -> Column:
+    return _region(province, fv.REGION_8)
+
+
+def region_3(province: str) -> Column:
+    return _region(province, {r: [p for part in parts for p in fv.REGION_8[part]] for r, parts in fv.REGION_3.items()})
 
 
 def region_alias(name) -> Column:

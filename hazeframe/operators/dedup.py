@@ -14,13 +14,22 @@ from hazeframe.functions.aggregates import arg_max
 
 
 def latest_by_key(df: DataFrame, keys: list[str], version: str, columns: list[str] | None = None,
-                  tiebreak: list[str] = ()) -> DataFrame:
-    """One row per key; each column holds its latest non-NULL value by version."""
+                  tiebreak: list[str] = (), sparse: list[str] | None = None) -> DataFrame:
+    """One row per key; each column holds its latest non-NULL value by version.
+
+    ``sparse`` names the columns that may be NULL in a later row (default: all).
+    The others travel together as one aggregate, which is much cheaper.
+    """
     skip = set(keys) | {version}
     columns = [c for c in (columns or df.columns) if c not in skip]
-    return df.groupBy(*keys).agg(
-        *[arg_max(c, version, *tiebreak).alias(c) for c in columns],
-        F.max(version).alias(version))
+    sparse = columns if sparse is None else sparse
+    dense = [c for c in columns if c not in sparse]
+    order = [version, *[t for t in tiebreak if t != version]]
+    row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in dense])
+    out = df.groupBy(*keys).agg(
+        F.max(row).alias("_row"), *[arg_max(c, version, *tiebreak).alias(c) for c in sparse])
+    return out.select(*keys, *[F.col(f"_row.{c}").alias(c) if c in dense else F.col(c) for c in columns],
+                      F.col("_row._o0").alias(version))
 
 
 def final(df: DataFrame, keys: list[str], version, tiebreak: list[str] = ()) -> DataFrame:

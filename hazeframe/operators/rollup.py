@@ -16,7 +16,7 @@ AREA = ["province", "ward_code", "region_3", "region_8"]
 
 
 def _main() -> Column:
-    return main_pollutant({p: F.col(f"{p}_aqi") for p in fv.POLLUTANTS})
+    return main_pollutant({p: f"{p}_aqi" for p in fv.POLLUTANTS})
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:

@@ -169,12 +169,13 @@ def map_stations(stations: DataFrame, wards: DataFrame) -> DataFrame:
     """
     names = wards.select("norm_province", "norm_ward", "ward_code", "province")
     base = ["station_name", "latitude", "longitude"]
-    named = stations.join(names, ["norm_province", "norm_ward"], "left").select(*base, "ward_code", "province")
+    named = stations.select(*base, "norm_province", "norm_ward").join(names, ["norm_province", "norm_ward"], "left").select(*base, "ward_code", "province")
     hit = F.coalesce(F.col("ward_code"), F.lit("")) != ""
-    refs = wards.select("ward_code", "province", "ref_lat", "ref_lon")
+    refs = wards.select("ward_code", F.col("province").alias("ref_province"), "ref_lat", "ref_lon")
     near = nearest_join(named.filter(~hit).select(*base), refs, ref_key="ward_code")
     return (named.filter(hit).withColumn("match", F.lit("name"))
-            .unionByName(near.select(*base, "ward_code", "province").withColumn("match", F.lit("nearest"))))
+            .unionByName(near.select(
+                *base, "ward_code", F.col("ref_province").alias("province")).withColumn("match", F.lit("nearest"))))
 
 
 def idw_fill(targets: DataFrame, known: DataFrame, k: int = 10, alpha: float = 0.65,

@@ -17,7 +17,7 @@ TIE = ["raw_sync_run_id"]
 def stage_station(raw: DataFrame, source: str) -> DataFrame:
     """Latest values per station, time, parameter, in ug/m3."""
     latest = dedup.latest_by_key(raw, ["station_name", "timestamp_utc", "parameter"], "raw_loaded_at",
-                                 STATION_COLUMNS, TIE)
+                                 STATION_COLUMNS, TIE, sparse=["value"])
     return latest.withColumns({
         "value": units.to_ugm3("parameter", "value", "unit"),
         "unit": F.lit(fv.UNIT_UGM3), "source": F.lit(source)})
@@ -27,7 +27,7 @@ def stage_modelled(raw: DataFrame) -> DataFrame:
     """Latest modelled values per ward, time, parameter."""
     columns = ["ward_name", "province_name", "latitude", "longitude", "value", "aqi_reported", "ingest_time",
                "raw_sync_run_id", "raw_sync_started_at"]
-    latest = dedup.latest_by_key(raw, ["ward_code", "timestamp_utc", "parameter"], "raw_loaded_at", columns, TIE)
+    latest = dedup.latest_by_key(raw, ["ward_code", "timestamp_utc", "parameter"], "raw_loaded_at", columns, TIE, sparse=["value"])
     return (latest.withColumnRenamed("province_name", "province")
             .withColumns({"source": F.lit("openweather"), "quality_flag": F.lit("valid")}))
 
@@ -224,9 +224,11 @@ class AirQualityModels:
     def ward_monthly(self):
         return self._once("ward_monthly", lambda: rollup.rollup_monthly(self.ward_daily))
 
+    def ward(self, grain: str):
+        return getattr(self, {"hour": "ward_hourly", "day": "ward_daily", "month": "ward_monthly"}[grain])
+
     def province(self, grain: str):
-        source = {"hour": self.ward_hourly, "day": self.ward_daily, "month": self.ward_monthly}[grain]
-        return self._once(f"province_{grain}", lambda: rollup.rollup_province(source, grain))
+        return self._once(f"province_{grain}", lambda: rollup.rollup_province(self.ward(grain), grain))
 
     @property
     def hourly_summary(self):
@@ -235,8 +237,7 @@ class AirQualityModels:
             "openweather": (self.source_hourly("openweather"), 0.5)}))
 
     def overview(self, grain: str):
-        source = {"hour": self.ward_hourly, "day": self.ward_daily, "month": self.ward_monthly}[grain]
-        return self._once(f"overview_{grain}", lambda: joins.overview(source, self.dim, grain))
+        return self._once(f"overview_{grain}", lambda: joins.overview(self.ward(grain), self.dim, grain))
 
     @property
     def population(self):

@@ -66,7 +66,7 @@ def explode_station(df: DataFrame, payload: str, as_of, order: str) -> tuple[Dat
         F.struct(F.lit("temp").alias("parameter"), F.col("iaqi.t.v").alias("v")),
         F.struct(F.lit("hum").alias("parameter"), F.col("iaqi.h.v").alias("v")))
     parameter, v = F.col("c.parameter"), F.col("c.v")
-    value = F.when(parameter.isin(fv.STATION_PARAMETERS), aqi_to_concentration(parameter, v)).otherwise(v)
+    value = F.when(parameter.isin(fv.STATION_PARAMETERS), aqi_to_concentration("c.parameter", "c.v")).otherwise(v)
     rows = base.withColumn("c", F.explode(cells)).filter(v.isNotNull()).select(
         F.lit("waqi").alias("source"), "station_name", "timestamp_utc", parameter.alias("parameter"),
         value.alias("value"), "aqi_reported", _station_unit(parameter).alias("unit"), F.lit("valid").alias("quality_flag"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
 from hazeframe.functions import geo
+from hazeframe.functions.aqi import sql_strings
 from hazeframe.functions.naming import padded_code
 from hazeframe.plans.air_quality import AirQualityModels
 
@@ -22,11 +23,27 @@ ROADS = ["motorway", "trunk", "primary", "secondary", "tertiary", "residential",
 
 
 def pick(values: list[str], index) -> F.Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return F.get(F.expr(f"array({sql_strings(values)})"), index.cast("int"))
+
+
+_READ: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """The whole table; the plan (not the data) is remembered per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(f"{folder}/{name}.parquet")
+    return _READ[key]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core when a small file arrives as fewer scan tasks than cores.
+
+    A table of realistic size has more splits than that and is left as read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def province_of_nation(nation) -> F.Column:
@@ -59,9 +76,13 @@ def stations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumns({
-        "k": F.get_json_object("props", "$.k").cast("int"),
-        "sk": F.floor(F.col("user_id") / 10), "custkey": F.floor(F.col("user_id") / 10) * 11 + F.col("user_id") % 2})
+    """Events as readings; the odd factor keeps values from ending on a rounding tie."""
+    key = (spark.sparkContext.applicationId, folder, "readings")
+    if key not in _READ:
+        _READ[key] = spread(table(spark, folder, "events"), "event_id").withColumns({
+            "k": F.get_json_object("props", "$.k").cast("int"), "value": F.col("value") * 1.000031415926535,
+            "sk": F.floor(F.col("user_id") / 10), "custkey": F.floor(F.col("user_id") / 10) * 11 + F.col("user_id") % 2})
+    return _READ[key]
 
 
 def _stamps() -> list:
@@ -155,12 +176,24 @@ def bands(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "pollutant_key string, health_effects string, epa_aqi_bp_lo double, epa_aqi_bp_hi double")
 
 
+class LazyTables(dict):
+    """Role name -> DataFrame, built on first use."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self.builders = builders
+
+    def __missing__(self, name):
+        self[name] = self.builders[name]()
+        return self[name]
+
+
 def models(spark: SparkSession, folder: str) -> AirQualityModels:
-    return AirQualityModels({
-        "aqiin": raw_station(spark, folder, "aqiin"), "waqi": raw_station(spark, folder, "waqi"),
-        "openweather": raw_openweather(spark, folder), "weather": raw_weather(spark, folder),
-        "traffic": raw_traffic(spark, folder), "stations": stations(spark, folder), "wards": wards(spark, folder),
-        "calibration": calibration(spark, folder)})
+    return AirQualityModels(LazyTables({
+        "aqiin": lambda: raw_station(spark, folder, "aqiin"), "waqi": lambda: raw_station(spark, folder, "waqi"),
+        "openweather": lambda: raw_openweather(spark, folder), "weather": lambda: raw_weather(spark, folder),
+        "traffic": lambda: raw_traffic(spark, folder), "stations": lambda: stations(spark, folder),
+        "wards": lambda: wards(spark, folder), "calibration": lambda: calibration(spark, folder)}))
 
 
 def control(spark: SparkSession, folder: str) -> DataFrame:
