@@ -15,7 +15,9 @@ from hazeframe.functions.predicates import monthly_where, present
 from hazeframe.operators.joins import latest_only
 from hazeframe.operators.ranking import dominant
 
-ANY = F.lit(True)
+def _on(where: Column | None) -> Column:
+    """An optional filter as a predicate."""
+    return F.lit(True) if where is None else where
 
 
 def _hours_back(column: str, as_of, hours: int) -> Column:
@@ -41,10 +43,10 @@ def current_status_by_province(status: DataFrame, as_of, hours: int = 3) -> Data
     ).withColumn("confidence_level", naming.confidence_level("confidence_score"))
 
 
-def national_kpi(overview: DataFrame, column: str, max_column: str, where: Column = ANY) -> DataFrame:
+def national_kpi(overview: DataFrame, column: str, max_column: str, where: Column | None = None) -> DataFrame:
     """Average, peak and the place of the peak."""
     top = F.coalesce(max_column, column)
-    rows = overview.filter(where & F.col(column).isNotNull() & present("province"))
+    rows = overview.filter(_on(where) & F.col(column).isNotNull() & present("province"))
     place = ["date", "ward_code", "source_mix"]
     return rows.agg(
         F.avg(column).alias("avg_val"), F.max(top).alias("max_val"),
@@ -53,9 +55,9 @@ def national_kpi(overview: DataFrame, column: str, max_column: str, where: Colum
         mode_of("main_pollutant").alias("dominant_pollutant"))
 
 
-def map_wards(overview: DataFrame, column: str, where: Column = ANY, by_ward: bool = True) -> DataFrame:
+def map_wards(overview: DataFrame, column: str, where: Column | None = None, by_ward: bool = True) -> DataFrame:
     """Map points: one per ward, or one per province at the mean position."""
-    rows = overview.filter(where & F.col(column).isNotNull() & present("province")
+    rows = overview.filter(_on(where) & F.col(column).isNotNull() & present("province")
                            & (F.col("latitude") != 0) & (F.col("longitude") != 0))
     keys = ["province"]
     if by_ward:
@@ -82,14 +84,14 @@ def _station_points(per_station: DataFrame, stations: DataFrame, dim: DataFrame)
         F.lit(0).cast("bigint").alias("openweather_observation_count")))
 
 
-def map_stations_index(observed: DataFrame, stations: DataFrame, dim: DataFrame, where: Column = ANY) -> DataFrame:
+def map_stations_index(observed: DataFrame, stations: DataFrame, dim: DataFrame, where: Column | None = None) -> DataFrame:
     """Station points by mean of per-time worst sub-index.
 
     Reduced per station before it meets the station list, so that join moves
     one row per station.
     """
     sub = vn_aqi("parameter", "value")
-    at_time = observed.filter(F.col("parameter").isin(fv.POLLUTANTS) & where).groupBy("station_name", "timestamp_utc").agg(
+    at_time = observed.filter(F.col("parameter").isin(fv.POLLUTANTS) & _on(where)).groupBy("station_name", "timestamp_utc").agg(
         F.max(sub).alias("overall_aqi"), arg_max("parameter", sub, "parameter").alias("main_pollutant"),
         F.count(F.lit(1)).alias("obs_count"))
     per_station = at_time.groupBy("station_name").agg(
@@ -99,16 +101,16 @@ def map_stations_index(observed: DataFrame, stations: DataFrame, dim: DataFrame,
 
 
 def map_stations_value(observed: DataFrame, stations: DataFrame, dim: DataFrame, parameter: str,
-                       where: Column = ANY) -> DataFrame:
+                       where: Column | None = None) -> DataFrame:
     """Station points by mean concentration of one parameter."""
-    per_station = observed.filter((F.col("parameter") == parameter) & where).groupBy("station_name").agg(
+    per_station = observed.filter((F.col("parameter") == parameter) & _on(where)).groupBy("station_name").agg(
         F.avg("value").alias("display_val"), F.count_distinct("timestamp_utc").alias("aqiin_observation_count"),
     ).withColumn("main_pollutant", F.lit(parameter))
     return _station_points(per_station, stations, dim)
 
 
-def category_histogram(overview: DataFrame, column: str, where: Column = ANY) -> DataFrame:
-    rows = overview.filter(where & F.col(column).isNotNull() & present("province"))
+def category_histogram(overview: DataFrame, column: str, where: Column | None = None) -> DataFrame:
+    rows = overview.filter(_on(where) & F.col(column).isNotNull() & present("province"))
     return rows.groupBy(aqi_histogram_key(column).alias("aqi_category_key")).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -117,26 +119,26 @@ def _two_windows(ranges: dict[str, date], column: str = "date", unit: str = "day
             times.in_range(column, ranges["current_start"], ranges["current_end"], unit))
 
 
-def worst_trend(overview: DataFrame, column: str, ranges: dict[str, date], where: Column = ANY, n: int = 1) -> DataFrame:
+def worst_trend(overview: DataFrame, column: str, ranges: dict[str, date], where: Column | None = None, n: int = 1) -> DataFrame:
     """Provinces with the steepest relative rise between two adjacent windows."""
     before, now = _two_windows(ranges)
-    rows = overview.filter(where & present("province") & F.col(column).isNotNull() & (before | now))
+    rows = overview.filter(_on(where) & present("province") & F.col(column).isNotNull() & (before | now))
     out = rows.groupBy("province").agg(avg_where(column, before).alias("prev_avg"), avg_where(column, now).alias("curr_avg"))
     rise = (F.col("curr_avg") - F.col("prev_avg")) / F.col("prev_avg")
     return (out.filter((F.col("prev_avg") > 0) & (F.col("curr_avg") > F.col("prev_avg")))
             .withColumn("rise", rise).orderBy(F.desc("rise"), "province").limit(n))
 
 
-def best_places(overview: DataFrame, column: str, ranges: dict[str, date], where: Column = ANY, n: int = 2) -> DataFrame:
+def best_places(overview: DataFrame, column: str, ranges: dict[str, date], where: Column | None = None, n: int = 2) -> DataFrame:
     _, now = _two_windows(ranges)
-    rows = overview.filter(where & now & present("province") & F.col(column).isNotNull())
+    rows = overview.filter(_on(where) & now & present("province") & F.col(column).isNotNull())
     return rows.groupBy("province").agg(F.avg(column).alias("avg_val")).orderBy("avg_val", "province").limit(n)
 
 
-def pollutant_improvement(overview: DataFrame, ranges: dict[str, date], where: Column = ANY) -> DataFrame:
+def pollutant_improvement(overview: DataFrame, ranges: dict[str, date], where: Column | None = None) -> DataFrame:
     """Relative change of every pollutant between two windows, best first."""
     before, now = _two_windows(ranges)
-    one = overview.filter(where & (before | now)).agg(
+    one = overview.filter(_on(where) & (before | now)).agg(
         *[f.alias(f"{p}_{w}") for p in fv.POLLUTANTS
           for w, f in (("prev", avg_where(f"{p}_avg", before)), ("curr", avg_where(f"{p}_avg", now)))])
     rows = F.array(*[F.struct(F.lit(p).alias("pollutant"), F.col(f"{p}_prev").alias("prev_avg"),
@@ -156,9 +158,9 @@ def stagnation_leader(weather_daily: DataFrame, ranges: dict[str, date], n: int
 
 # --- pollutants --------------------------------------------------------------------
 
-def breach_counts(overview: DataFrame, column: str, who: float, national: float, where: Column = ANY) -> DataFrame:
+def breach_counts(overview: DataFrame, column: str, who: float, national: float, where: Column | None = None) -> DataFrame:
     """Records, limit breaches, compliant records and the particulate ratio."""
-    rows = overview.filter(where & F.col(column).isNotNull())
+    rows = overview.filter(_on(where) & F.col(column).isNotNull())
     n = F.count(F.lit(1))
     breaches, fine = F.count_if(F.col(column) > who), F.count_if(F.col(column) <= national)
     r = F.coalesce(ratio(F.avg("pm25_avg"), F.avg("pm10_avg")), F.lit(0.0))
@@ -168,28 +170,28 @@ def breach_counts(overview: DataFrame, column: str, who: float, national: float,
         r.alias("pm25_pm10_ratio"), naming.fingerprint_class(r).alias("probable_source"))
 
 
-def breach_spotlight(df: DataFrame, column: str, limit: float, where: Column = ANY, n: int = 1) -> DataFrame:
+def breach_spotlight(df: DataFrame, column: str, limit: float, where: Column | None = None, n: int = 1) -> DataFrame:
     """Provinces with most records over a limit."""
-    rows = df.filter(where & F.col(column).isNotNull() & present("province"))
+    rows = df.filter(_on(where) & F.col(column).isNotNull() & present("province"))
     return (rows.groupBy("province").agg(F.count(F.lit(1)).alias("total_days"), F.count_if(F.col(column) > limit).alias("breach_days"))
             .orderBy(F.desc("breach_days"), F.desc("total_days"), "province").limit(n))
 
 
-def sub_index_trend(summary: DataFrame, grain: str, where: Column = ANY) -> DataFrame:
+def sub_index_trend(summary: DataFrame, grain: str, where: Column | None = None) -> DataFrame:
     """Mean sub-index of each pollutant per hour or day."""
     key, part = ("datetime_hour", "") if grain == "hour" else ("date", "daily_")
-    return summary.filter(where).groupBy(F.col(key).alias("time_key")).agg(
+    return summary.filter(_on(where)).groupBy(F.col(key).alias("time_key")).agg(
         *[F.round(F.avg(f"{p}_{part}aqi"), 1).alias(f"{p}_aqi") for p in fv.POLLUTANTS])
 
 
-def source_value_trend(summary: DataFrame, column: str, grain: str, where: Column = ANY) -> DataFrame:
+def source_value_trend(summary: DataFrame, column: str, grain: str, where: Column | None = None) -> DataFrame:
     key = "datetime_hour" if grain == "hour" else "date"
-    return summary.filter(where).groupBy(F.col(key).alias("time_key"), "source").agg(F.round(F.avg(column), 1).alias("value"))
+    return summary.filter(_on(where)).groupBy(F.col(key).alias("time_key"), "source").agg(F.round(F.avg(column), 1).alias("value"))
 
 
-def class_counts(df: DataFrame, keys: list[str], where: Column = ANY) -> DataFrame:
+def class_counts(df: DataFrame, keys: list[str], where: Column | None = None) -> DataFrame:
     """Row counts per class (fingerprint, compliance status, ...)."""
-    return df.filter(where).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    return df.filter(_on(where)).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 # --- sources and history ---------------------------------------------------------------
@@ -197,16 +199,16 @@ def class_counts(df: DataFrame, keys: list[str], where: Column = ANY) -> DataFra
 SOURCES = ["aqiin", "waqi", "openweather"]
 
 
-def source_stats(summary_daily: DataFrame, where: Column = ANY) -> DataFrame:
-    rows = summary_daily.filter(where & F.col("source").isin(SOURCES))
+def source_stats(summary_daily: DataFrame, where: Column | None = None) -> DataFrame:
+    rows = summary_daily.filter(_on(where) & F.col("source").isin(SOURCES))
     return rows.groupBy("source").agg(
         F.round(F.avg("daily_avg_aqi_us"), 1).alias("avg_aqi"), F.round(F.max("daily_max_aqi_us"), 0).alias("max_aqi"),
         F.round(F.min("daily_avg_aqi_us"), 1).alias("min_aqi"), F.count(F.lit(1)).alias("day_count"),
         F.count_if(F.col("daily_avg_aqi_us") <= 50).alias("good_days"))
 
 
-def source_distribution(summary_daily: DataFrame, where: Column = ANY) -> DataFrame:
-    return summary_daily.filter(where & F.col("source").isin(SOURCES)).select("source", F.col("daily_avg_aqi_us").alias("avg_aqi"))
+def source_distribution(summary_daily: DataFrame, where: Column | None = None) -> DataFrame:
+    return summary_daily.filter(_on(where) & F.col("source").isin(SOURCES)).select("source", F.col("daily_avg_aqi_us").alias("avg_aqi"))
 
 
 def source_freshness(source_health: DataFrame) -> DataFrame:
@@ -214,15 +216,15 @@ def source_freshness(source_health: DataFrame) -> DataFrame:
         "source", "reliable_pct", "latest_lag_hours", "latest_ingest_lag_hours", "stale_count", "offline_count")
 
 
-def history_stats(overview: DataFrame, column: str, where: Column = ANY) -> DataFrame:
-    return overview.filter(where & F.col(column).isNotNull()).agg(
+def history_stats(overview: DataFrame, column: str, where: Column | None = None) -> DataFrame:
+    return overview.filter(_on(where) & F.col(column).isNotNull()).agg(
         F.count_distinct("date").alias("total_days"), F.round(F.avg(column), 1).alias("overall_avg"),
         F.round(F.min(column), 1).alias("overall_min"), F.round(F.max(column), 0).alias("overall_max"))
 
 
-def period_trend(overview: DataFrame, column: str, where: Column = ANY, max_column: str | None = None) -> DataFrame:
+def period_trend(overview: DataFrame, column: str, where: Column | None = None, max_column: str | None = None) -> DataFrame:
     """Mean and peak per date (a month's first day in monthly tables)."""
-    return overview.filter(where & F.col(column).isNotNull()).groupBy("date").agg(
+    return overview.filter(_on(where) & F.col(column).isNotNull()).groupBy("date").agg(
         F.round(F.avg(column), 1).alias("avg_val"), F.round(F.max(max_column or column), 0).alias("max_val"))
 
 
@@ -230,8 +232,8 @@ def monthly_trend(monthly: DataFrame, column: str, dates, mix: str) -> DataFrame
     return period_trend(monthly, column, monthly_where(dates) & (F.col("source_mix") == mix))
 
 
-def heat_map(overview: DataFrame, column: str, where: Column = ANY) -> DataFrame:
-    rows = overview.filter(where & present("province") & F.col(column).isNotNull())
+def heat_map(overview: DataFrame, column: str, where: Column | None = None) -> DataFrame:
+    rows = overview.filter(_on(where) & present("province") & F.col(column).isNotNull())
     return rows.groupBy("province", F.col("date").cast("string").alias("date_str")).agg(
         F.round(F.avg(column), 1).alias("display_val"))
 
@@ -246,8 +248,8 @@ def ward_list(dim: DataFrame, province: str) -> DataFrame:
 
 # --- alerts page ---------------------------------------------------------------------------
 
-def compliance_timeline(compliance: DataFrame, as_of, days: int, where: Column = ANY) -> DataFrame:
-    return class_counts(compliance, ["date", "compliance_status"], where & _days_back("date", as_of, days))
+def compliance_timeline(compliance: DataFrame, as_of, days: int, where: Column | None = None) -> DataFrame:
+    return class_counts(compliance, ["date", "compliance_status"], _on(where) & _days_back("date", as_of, days))
 
 
 def breach_by_province(compliance: DataFrame, as_of, days: int, n: int = 15) -> DataFrame:
@@ -257,8 +259,8 @@ def breach_by_province(compliance: DataFrame, as_of, days: int, n: int = 15) ->
             .orderBy(F.desc(F.col("who_breach_days") + F.col("tcvn_breach_days")), "province").limit(n))
 
 
-def high_risk_hours(province_hourly: DataFrame, as_of, days: int, where: Column = ANY, cap: int = 24) -> DataFrame:
-    rows = province_hourly.filter(_days_back("date", as_of, days) & (F.col("source_mix") == "observed") & present("province") & where)
+def high_risk_hours(province_hourly: DataFrame, as_of, days: int, where: Column | None = None, cap: int = 24) -> DataFrame:
+    rows = province_hourly.filter(_days_back("date", as_of, days) & (F.col("source_mix") == "observed") & present("province") & _on(where))
     hours = rows.groupBy("province", "date", "datetime_hour").agg(F.max("avg_aqi_us").alias("hourly_aqi_us"))
     return hours.groupBy("province", "date").agg(
         F.least(F.lit(cap).cast("bigint"), F.count_if(F.col("hourly_aqi_us") > 150)).alias("high_risk_hours"))
@@ -266,14 +268,14 @@ def high_risk_hours(province_hourly: DataFrame, as_of, days: int, where: Column
 
 # --- traffic ----------------------------------------------------------------------------------
 
-def traffic_profile(trend: DataFrame, column: str = "pm25", where: Column = ANY) -> DataFrame:
+def traffic_profile(trend: DataFrame, column: str = "pm25", where: Column | None = None) -> DataFrame:
     """Mean congestion and concentration per local hour of day."""
-    return trend.filter(where).groupBy(times.local_hour("datetime_hour").alias("hour_val")).agg(
+    return trend.filter(_on(where)).groupBy(times.local_hour("datetime_hour").alias("hour_val")).agg(
         F.avg("avg_congestion").alias("avg_congestion"), F.avg(column).alias("avg_p"))
 
 
-def traffic_summary(daily: DataFrame, where: Column = ANY) -> DataFrame:
-    return daily.filter(where).agg(
+def traffic_summary(daily: DataFrame, where: Column | None = None) -> DataFrame:
+    return daily.filter(_on(where)).agg(
         F.avg("pm25_daily_avg").alias("avg_pm25"), F.avg("congestion_daily_avg").alias("avg_congestion"),
         F.avg("pm25_congestion_uplift").alias("avg_pm25_uplift"),
         F.avg("traffic_pollution_impact_score").alias("avg_comovement_score"),
@@ -284,10 +286,10 @@ def traffic_summary(daily: DataFrame, where: Column = ANY) -> DataFrame:
 
 
 def traffic_ranking_wards(staged: DataFrame, dim: DataFrame, trend: DataFrame, column: str, mix: str,
-                          where: Column = ANY, n: int = 12) -> DataFrame:
+                          where: Column | None = None, n: int = 12) -> DataFrame:
     """Wards by mean (province concentration x ward congestion)."""
     ward = staged.groupBy("ward_code", F.col("timestamp_utc").alias("datetime_hour")).agg(F.avg("value").alias("ward_congestion"))
-    hours = trend.filter((F.col("source_mix") == mix) & F.col(column).isNotNull() & where).select(
+    hours = trend.filter((F.col("source_mix") == mix) & F.col(column).isNotNull() & _on(where)).select(
         "province", "datetime_hour", F.col(column).alias("_c"))
     names = dim.filter(present("province", "ward_code")).select("ward_code", "ward_name", "province")
     rows = (ward.filter(F.col("ward_congestion") > 0).join(names, "ward_code").join(hours, ["province", "datetime_hour"]))
@@ -297,8 +299,8 @@ def traffic_ranking_wards(staged: DataFrame, dim: DataFrame, trend: DataFrame, c
         .orderBy(F.desc("impact_score"), "ward_code").limit(n))
 
 
-def traffic_ranking_provinces(daily: DataFrame, column: str, where: Column = ANY, n: int = 12) -> DataFrame:
-    rows = daily.filter(where & present("province"))
+def traffic_ranking_provinces(daily: DataFrame, column: str, where: Column | None = None, n: int = 12) -> DataFrame:
+    rows = daily.filter(_on(where) & present("province"))
     return (rows.groupBy(F.col("province").alias("label_col")).agg(
         F.min("location_type").alias("location_type"),
         F.avg(F.col(f"{column}_daily_avg") * F.col("congestion_daily_avg")).alias("impact_score"))
@@ -312,22 +314,23 @@ def _stagnation(pollutant: str) -> list[Column]:
             ratio(F.sum(f"dispersive_{pollutant}_sum"), F.sum("dispersive_hours")).alias("avg_disp")]
 
 
-_INFLUENCE = ratio(F.col("avg_stag") - F.col("avg_disp"), "avg_stag") * 100
+def _influence() -> Column:
+    return ratio(F.col("avg_stag") - F.col("avg_disp"), "avg_stag") * 100
 
 
-def weather_summary(daily: DataFrame, pollutant: str = "pm25", where: Column = ANY) -> DataFrame:
-    return daily.filter(where).agg(
+def weather_summary(daily: DataFrame, pollutant: str = "pm25", where: Column | None = None) -> DataFrame:
+    return daily.filter(_on(where)).agg(
         *_stagnation(pollutant), F.avg("stagnant_air_probability").alias("stagnant_prob"),
-        F.avg("wind_daily_avg").alias("avg_wind")).withColumn("influence_pct", _INFLUENCE)
+        F.avg("wind_daily_avg").alias("avg_wind")).withColumn("influence_pct", _influence())
 
 
-def weather_ranking(daily: DataFrame, pollutant: str = "pm25", where: Column = ANY, dim: DataFrame | None = None,
+def weather_ranking(daily: DataFrame, pollutant: str = "pm25", where: Column | None = None, dim: DataFrame | None = None,
                     n: int = 10) -> DataFrame:
     """Provinces (or wards, given the dimension) by low-wind pollution risk."""
     key = "province" if dim is None else "ward_code"
-    out = (daily.filter(where & present(key)).groupBy(key).agg(
+    out = (daily.filter(_on(where) & present(key)).groupBy(key).agg(
         F.avg(ratio(f"{pollutant}_daily_avg", "wind_daily_avg")).alias("risk_index"), *_stagnation(pollutant))
-        .withColumn("influence_pct", _INFLUENCE).orderBy(F.desc("risk_index"), key).limit(n))
+        .withColumn("influence_pct", _influence()).orderBy(F.desc("risk_index"), key).limit(n))
     if dim is None:
         return out.withColumnRenamed("province", "label_col")
     names = dim.select("ward_code", F.nullif(F.col("ward_name"), F.lit("")).alias("_n"))
@@ -335,7 +338,7 @@ def weather_ranking(daily: DataFrame, pollutant: str = "pm25", where: Column = A
             .drop("_n").withColumnRenamed("ward_code", "label_key"))
 
 
-def weather_series(df: DataFrame, grain: str, column: str = "pm25", where: Column = ANY) -> DataFrame:
+def weather_series(df: DataFrame, grain: str, column: str = "pm25", where: Column | None = None) -> DataFrame:
     """Concentration with weather per hour (local time), day or month."""
     if grain == "hour":
         key, names = F.from_utc_timestamp("datetime_hour", fv.LOCAL_ZONE), (column, "temperature", "humidity", "wind_speed")
@@ -343,7 +346,7 @@ def weather_series(df: DataFrame, grain: str, column: str = "pm25", where: Colum
         day = F.col("date") if grain == "day" else times.month_of("date")
         key, names = day.cast("timestamp"), (f"{column}_daily_avg", "temp_daily_avg", "humidity_daily_avg", "wind_daily_avg")
     value, temp, hum, wind = names
-    return df.filter(where).groupBy(key.alias("time_key")).agg(
+    return df.filter(_on(where)).groupBy(key.alias("time_key")).agg(
         F.avg(value).alias("avg_val"), F.avg(temp).alias("avg_temp"), F.avg(hum).alias("avg_hum"),
         F.avg(wind).alias("avg_wind"), F.avg("stagnant_air_probability").alias("stagnant_prob"),
     ).filter(F.col("avg_temp").isNotNull())
@@ -351,23 +354,23 @@ def weather_series(df: DataFrame, grain: str, column: str = "pm25", where: Colum
 
 # --- health and platform ----------------------------------------------------------------------------
 
-def health_kpis(ranking: DataFrame, where: Column = ANY) -> DataFrame:
-    return ranking.filter(where).agg(
+def health_kpis(ranking: DataFrame, where: Column | None = None) -> DataFrame:
+    return ranking.filter(_on(where)).agg(
         F.max_by("province", F.struct("time_weighted_pm25", "province")).alias("worst_province"),
         F.max("time_weighted_pm25").alias("worst_pm25"), F.avg("time_weighted_pm25").alias("mean_pm25"),
         F.count_if(F.col("risk_category").isin("CRITICAL", "HIGH RISK")).alias("critical_high_risk_provinces"),
         (F.sum("population") / 1_000_000.0).alias("exposed_population_m"))
 
 
-def risk_distribution(ranking: DataFrame, where: Column = ANY) -> DataFrame:
+def risk_distribution(ranking: DataFrame, where: Column | None = None) -> DataFrame:
     """Share of provinces per risk category, in percent."""
-    counts = ranking.filter(where).groupBy("risk_category").agg(F.count(F.lit(1)).alias("provinces"))
+    counts = ranking.filter(_on(where)).groupBy("risk_category").agg(F.count(F.lit(1)).alias("provinces"))
     total = counts.agg(F.sum("provinces").alias("_t"))  # one row
     return counts.join(F.broadcast(total)).select("risk_category", "provinces", (F.col("provinces") * 100.0 / F.col("_t")).alias("pct"))
 
 
-def health_ranking(ranking: DataFrame, where: Column = ANY) -> DataFrame:
-    return ranking.filter(where).select(
+def health_ranking(ranking: DataFrame, where: Column | None = None) -> DataFrame:
+    return ranking.filter(_on(where)).select(
         "province", "population", "time_weighted_pm25", "confidence_score", "confidence_level", "source_mix",
         "total_exposure_index_m", "risk_category", "exposure_risk_category", "pollution_rank", "exposure_rank",
         "national_risk_rank").orderBy("national_risk_rank", "province")
@@ -468,8 +471,8 @@ def monthly_context(overview: DataFrame, column: str, max_column: str, mix: str,
             .orderBy(F.desc("month")).limit(n))
 
 
-def spikes(overview: DataFrame, column: str, max_column: str, mix: str, where: Column = ANY, over: float = 150) -> DataFrame:
-    rows = overview.filter(where & (F.col(max_column) > over) & present("province") & (F.col("source_mix") == mix))
+def spikes(overview: DataFrame, column: str, max_column: str, mix: str, where: Column | None = None, over: float = 150) -> DataFrame:
+    rows = overview.filter(_on(where) & (F.col(max_column) > over) & present("province") & (F.col("source_mix") == mix))
     return rows.select(F.col("date").cast("string").alias("date"), "province", "ward_code",
                        F.col(column).alias("avg_aqi"), F.col(max_column).alias("max_aqi"))
 
