@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("model_queries", "column_queries", "report_queries")
+MODULES = ("model_queries", "column_queries", "report_queries", "flow_queries")
 
 
 def all_entries():

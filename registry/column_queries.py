@@ -124,10 +124,10 @@ def _(spark, d):
     return o.select("o_orderkey", naming.padded_code("text").alias("code"))
 
 
-@query("congestion_ratios", "X14", out("(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(5e0, greatest(0e0, CASE WHEN q > 10 THEN (l_extendedprice / 500 - q) / q WHEN l_tax > 0 THEN 0.1e0 / l_tax - 1 ELSE 0e0 END)) AS ratio FROM (SELECT *, l_quantity AS q FROM lineitem))", "l_orderkey l_linenumber l_partkey l_suppkey ~ratio"))
+@query("congestion_ratios", "X14", out("(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(5e0, greatest(0e0, CASE WHEN q > 10 THEN (l_extendedprice * 1.000031415926535e0 / 500 - q) / q WHEN l_tax > 0 THEN 0.1e0 / l_tax - 1 ELSE 0e0 END)) AS ratio FROM (SELECT *, l_quantity AS q FROM lineitem))", "l_orderkey l_linenumber l_partkey l_suppkey ~ratio"))
 def _(spark, d):
     q = F.col("l_quantity")
-    li = R.table(spark, d, "lineitem").withColumns({"ct": F.col("l_extendedprice") / 500, "ft": F.when(q > 10, q).otherwise(0.0), "fs": F.lit(0.1)})
+    li = R.table(spark, d, "lineitem").withColumns({"ct": F.col("l_extendedprice") * 1.000031415926535 / 500, "ft": F.when(q > 10, q).otherwise(0.0), "fs": F.lit(0.1)})
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", traffic.congestion_ratio("ct", "ft", "l_tax", "fs").alias("ratio"))
 
 
