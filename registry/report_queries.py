@@ -385,7 +385,7 @@ def _(spark, d):
     return reports.week_over_week(over(spark, d), R.AS_OF_DATE)
 
 
-@query("weekly_dominant_pollutant", "Q18 W5", with_ctes(f"SELECT province, pollutant, hours FROM (SELECT province, main_pollutant AS pollutant, count(*) AS hours, row_number() OVER (PARTITION BY province ORDER BY count(*) DESC, main_pollutant) AS rn FROM overview_day WHERE {WEEK} AND main_pollutant IS NOT NULL GROUP BY ALL) WHERE rn = 1"))
+@query("weekly_dominant_pollutant", "Q18 W5", with_ctes(f"SELECT province, pollutant, hours FROM (SELECT *, row_number() OVER (PARTITION BY province ORDER BY hours DESC, pollutant) AS rn FROM (SELECT province, main_pollutant AS pollutant, count(*) AS hours FROM overview_day WHERE {WEEK} AND main_pollutant IS NOT NULL GROUP BY province, main_pollutant)) WHERE rn = 1"))
 def _(spark, d):
     return reports.weekly_dominant_pollutant(over(spark, d), R.AS_OF_DATE)
 
@@ -465,7 +465,7 @@ def _(spark, d):
     return ranking.top_n(R.table(spark, d, "orders"), ["o_custkey"], F.sum("o_totalprice"), 20, "total")
 
 
-@query("dominant_customer", "W5", with_ctes("SELECT l_suppkey, l_partkey, n FROM (SELECT l_suppkey, l_partkey, count(*) AS n, row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, l_partkey) AS rn FROM lineitem GROUP BY ALL) WHERE rn = 1"))
+@query("dominant_customer", "W5", with_ctes("SELECT l_suppkey, l_partkey, n FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_partkey) AS rn FROM (SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY l_suppkey, l_partkey)) WHERE rn = 1"))
 def _(spark, d):
     return ranking.dominant(R.table(spark, d, "lineitem"), ["l_suppkey"], "l_partkey")
 
