@@ -22,26 +22,28 @@ from hazeframe.functions.traffic import road_proxy
 PYRAMID = (65536, 16384, 4096, 1024, 256, 64, 16, 1)
 
 
-def _cell(coordinate: Column, n: int) -> Column:
-    return F.floor((coordinate + 180.0) * (n / 360.0)).cast("int")
+# Cell lists are SQL text: one parse instead of a driver round trip per node.
 
+def _cell(coordinate: str, n: int) -> str:
+    return f"CAST(floor(({coordinate} + 180D) * {n / 360.0!r}D) AS INT)"
 
-def _own_cells(lat: Column, lon: Column) -> Column:
-    return F.array(*[
-        F.struct(F.lit(i).alias("level"), _cell(lat, n).alias("cy"),
-                 F.pmod(_cell(lon, n), F.lit(n)).alias("cx"))
-        for i, n in enumerate(PYRAMID)])
 
+def _cell_struct(level: int, cy: str, cx: str) -> str:
+    return f"named_struct('level', {level}, 'cy', {cy}, 'cx', {cx})"
 
-def _block(lat: Column, lon: Column, i: int) -> Column:
-    """Cells of the 3x3 block around a position at pyramid level ``i`` (distinct)."""
+
+def _own_cells(lat: str, lon: str) -> Column:
+    cells = [_cell_struct(i, _cell(lat, n), f"pmod({_cell(lon, n)}, {n})") for i, n in enumerate(PYRAMID)]
+    return F.expr(f"array({', '.join(cells)})")
+
+
+def _block(lat: str, lon: str, i: int) -> str:
+    """Cells of the 3x3 block around a position at pyramid level ``i`` (distinct), as text."""
     n = PYRAMID[i]
     if n == 1:
-        return F.array(F.struct(F.lit(i).alias("level"), F.lit(0).alias("cy"), F.lit(0).alias("cx")))
-    return F.array(*[
-        F.struct(F.lit(i).alias("level"), (_cell(lat, n) + dy).alias("cy"),
-                 F.pmod(_cell(lon, n) + dx, F.lit(n)).alias("cx"))
-        for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+        return _cell_struct(i, "0", "0")
+    return ", ".join(_cell_struct(i, f"{_cell(lat, n)} + ({dy})", f"pmod({_cell(lon, n)} + ({dx}), {n})")
+                     for dy in (-1, 0, 1) for dx in (-1, 0, 1))
 
 
 def _reach(lat: Column, i: int, metric: str) -> Column:
@@ -83,10 +85,11 @@ def knn(points: DataFrame, refs: DataFrame, k: int, metric: str = "sphere",
     refs = refs.filter(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull())
     positions = (points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
                  .select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct())
-    occupied = (refs.select(F.explode(_own_cells(F.col(ref_lat), F.col(ref_lon))).alias("c"))
+    occupied = (refs.select(F.explode(_own_cells(ref_lat, ref_lon)).alias("c"))
                 .groupBy("c.level", "c.cy", "c.cx").agg(F.count(F.lit(1)).alias("n")))
 
-    all_blocks = F.flatten(F.array(*[_block(F.col("_lat"), F.col("_lon"), i) for i in range(len(PYRAMID))]))
+    levels = range(len(PYRAMID))
+    all_blocks = F.expr(f"array({', '.join(_block('_lat', '_lon', i) for i in levels)})")
     level_hits = (positions.select("_lat", "_lon", F.explode(all_blocks).alias("c"))
                   .select("_lat", "_lon", "c.*").join(occupied, ["level", "cy", "cx"])
                   .groupBy("_lat", "_lon", "level").agg(F.sum("n").alias("n")))
@@ -98,13 +101,12 @@ def knn(points: DataFrame, refs: DataFrame, k: int, metric: str = "sphere",
     search = F.lit(last)
     for i in reversed(range(last)):
         search = F.when((F.col("_fine") <= i) & (_reach(F.col("_lat"), i, metric) >= far), i).otherwise(search)
-    block = F.lit(None)
-    for i in reversed(range(last + 1)):
-        block = F.when(F.col("_search") == i, _block(F.col("_lat"), F.col("_lon"), i)).otherwise(block)
+    arms = " ".join(f"WHEN {i} THEN array({_block('_lat', '_lon', i)})" for i in levels)
+    block = F.expr(f"CASE _search {arms} END")
     wanted = (finest.withColumn("_search", search)
               .select("_lat", "_lon", F.explode(block).alias("c")).select("_lat", "_lon", "c.*"))
 
-    candidates = (refs.withColumn("c", F.explode(_own_cells(F.col(ref_lat), F.col(ref_lon))))
+    candidates = (refs.withColumn("c", F.explode(_own_cells(ref_lat, ref_lon)))
                   .select("*", "c.*").drop("c"))
     pairs = wanted.join(candidates, ["level", "cy", "cx"]).drop("level", "cy", "cx").withColumn(
         "distance", _distance(metric, F.col("_lat"), F.col("_lon"), F.col(ref_lat), F.col(ref_lon)))
