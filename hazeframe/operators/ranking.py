@@ -77,6 +77,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: l
     equal values collapsed) is ordered.  No group is ever collected.
     Returns keys, p, quantile.
     """
+    if not keys:
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probabilities, accuracy)
+        return whole.drop("_all")
     vals = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     targets = F.array(*[F.lit(float(p)) for p in probabilities])
     margin = 4.0 / accuracy
@@ -94,8 +97,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: l
                         F.least(F.floor(F.col("b.p") * F.col("_n")), F.col("_n") - 1).alias("_target"),
                         F.when(F.col("b.p") <= margin, F.col("_min")).otherwise(F.col("b._lo")).alias("_lo"),
                         F.when(F.col("b.p") >= 1 - margin, F.col("_max")).otherwise(F.col("b._hi")).alias("_hi")))
-    # without keys the brackets are exactly len(probabilities) rows
-    joined = vals.join(brackets, keys) if keys else vals.join(F.broadcast(brackets))
+    if keys == ["_all"]:  # then the brackets are exactly len(probabilities) rows
+        brackets = F.broadcast(brackets)
+    joined = vals.join(brackets, keys)
     inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
     # below the bracket everything folds into one counter per group and p
     counts = (joined.filter(F.col("_v") <= F.col("_hi"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
@@ -365,8 +365,8 @@ def health_kpis(ranking: DataFrame, where: Column | None = None) -> DataFrame:
 def risk_distribution(ranking: DataFrame, where: Column | None = None) -> DataFrame:
     """Share of provinces per risk category, in percent."""
     counts = ranking.filter(_on(where)).groupBy("risk_category").agg(F.count(F.lit(1)).alias("provinces"))
-    total = counts.agg(F.sum("provinces").alias("_t"))  # one row
-    return counts.join(F.broadcast(total)).select("risk_category", "provinces", (F.col("provinces") * 100.0 / F.col("_t")).alias("pct"))
+    total = F.sum("provinces").over(Window.partitionBy())  # over at most four categories
+    return counts.withColumn("pct", F.col("provinces") * 100.0 / total)
 
 
 def health_ranking(ranking: DataFrame, where: Column | None = None) -> DataFrame:
