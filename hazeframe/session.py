@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_BASE: dict[str, str] = {}
 
-def local_session(cores: str = "*", name: str = "hazeframe") -> SparkSession:
+
+def local_session(cores: str = "*", name: str = "hazeframe", shared: str | None = None) -> SparkSession:
     """Local session for tests and the benchmark; clusters bring their own."""
     return (SparkSession.builder.master(f"local[{cores}]").appName(name)
             .config("spark.sql.session.timeZone", "UTC")
@@ -16,16 +19,29 @@ def local_session(cores: str = "*", name: str = "hazeframe") -> SparkSession:
             .config("spark.sql.adaptive.enabled", "true")
             .config("spark.driver.memory", "12g")
             .config("spark.ui.enabled", "false")
+            .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="hazeframe-"))
             .getOrCreate())
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's checkpoint folder.
+def shared_base(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests) is a local folder used.
+    Where it is unset, a session whose only process is this one (``local[n]``)
+    gets a temporary folder; any other session is refused, since its executors
+    could not read what others wrote.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="hazeframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_BASE:
+        _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="hazeframe-")
+    return _LOCAL_BASE[app]
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for one purpose below the shared one."""
+    return f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
