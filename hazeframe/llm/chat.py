@@ -22,7 +22,7 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
 
 def unescape(text: Column) -> Column:

@@ -107,7 +107,7 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col:
     vectors = stored(rows.filter("usable").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
                      .withColumn("d", F.size("key")), "vectors")
     found = [_links_of_length(vectors.filter(F.col("d") == r["d"]), r["d"], r["n"], threshold, leaf_rows, most_leaves, sample_rows, lead)
-             for r in vectors.groupBy("d").agg(F.count("*").alias("n")).filter("n > 1").orderBy("d").toLocalIterator()]
+             for r in vectors.groupBy("d").agg(F.count("*").alias("n")).filter("n > 1").orderBy("d").collect()]  # one row per vector length
     if found:
         out = found[0]
         for more in found[1:]:
@@ -140,7 +140,7 @@ def _links_of_length(vectors: DataFrame, d: int, n: int, threshold: float, leaf_
     depth = int(np.clip(np.ceil(np.log2(max(1, n / leaf_rows))), 0, np.log2(most_leaves)))
     lead = min(lead, d)
     sample = vectors.select("key").orderBy(F.xxhash64("rep")).limit(min(sample_rows, 64 * 2 ** depth))
-    some = np.array([r["key"] for r in sample.toLocalIterator()])
+    some = np.array([r["key"] for r in sample.collect()])
     tree = fit_splits(unit_rows(some) @ axes, depth, lead)
     given = spark.sparkContext.broadcast((axes, tree))
 

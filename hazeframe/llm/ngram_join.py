@@ -3,8 +3,8 @@
 Equal sets are merged first.  The others fall into two kinds.
 
 * Light sets (small): every pair of sizes asks for a fixed overlap c; each set
-  lists all its subsets of c shingles, so two sets that share a listed subset
-  are linked for certain and nothing needs to be compared.
+  lists all its subsets of c shingles per partner size, so two sets that share a
+  listed subset are linked for certain and nothing needs to be compared.
 * Heavy sets: listing subsets explodes, so inverted lists are scanned.  A list
   belongs to a piece of a set: the shingles are dealt by hash to one piece more
   than the largest symmetric difference that a linked pair may have, so linked
@@ -125,13 +125,13 @@ class Measure:
         return 1 + max(total - 2 * self.overlap(total, 0) for total in range(max(2, top - 2 * (100 + self.percent)), top + 1))
 
     @lru_cache(maxsize=4096)
-    def subset_sizes(self, n: int, boundary: int) -> tuple[int, ...]:
-        """Overlaps that a set of size n lists, for partners with a smaller side within the boundary."""
+    def partners(self, n: int, boundary: int) -> tuple[tuple[int, int], ...]:
+        """(partner size, overlap asked for) of a set of size n, where the smaller side is within the boundary."""
         mates = [m for m in range(self.smallest(n), self.largest(n) + 1) if min(n, m) <= boundary]
-        return tuple(sorted({self.overlap(n, m) for m in mates if self.overlap(n, m) <= min(n, m)}))
+        return tuple((m, self.overlap(n, m)) for m in mates if self.overlap(n, m) <= min(n, m))
 
     def listed(self, n: int, boundary: int) -> int:
-        return sum(comb(n, c) for c in self.subset_sizes(n, boundary))
+        return sum(comb(n, c) for _, c in self.partners(n, boundary))
 
 
 def choose_boundary(measure: Measure, sizes: dict[int, int], scan_cost: float = 6.0, most_listed: int = 5000) -> int:
@@ -152,17 +152,23 @@ def choose_boundary(measure: Measure, sizes: dict[int, int], scan_cost: float =
     return best
 
 
-def subset_keys(s: np.ndarray, measure: Measure, boundary: int) -> list[int]:
-    """Keys of all listed subsets: each is the sum of its hashes, mixed with its size."""
-    n, keys = len(s), []
+def subset_keys(s: np.ndarray, measure: Measure, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all listed subsets and the role of the set in each list: 1 for the larger side of unequal sizes, else 0.
+
+    A list belongs to a subset and a pair of sizes.  Sets of the smaller size
+    that share it overlap enough among themselves, sets of the larger size
+    overlap enough with each of the smaller ones.
+    """
+    n, keys, roles = len(s), [], []
     with np.errstate(over="ignore"):
         mixed = scramble(s)
         total = mixed.sum(dtype=np.uint64)
-        for c in measure.subset_sizes(n, boundary):
+        for m, c in measure.partners(n, boundary):
             left_out = np.array(list(combinations(range(n), n - c)), np.int64) if n > c else None
             sums = np.array([total]) if n == c else total - mixed[left_out].sum(axis=1, dtype=np.uint64)
-            keys.append(scramble(sums + np.uint64(c) * _BASE))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            keys.append(scramble(sums + scramble(np.uint64(min(n, m) * 65536 + max(n, m)) * _BASE)))
+            roles.append(np.full(len(sums), int(n > m), np.int8))
+    return (np.concatenate(keys), np.concatenate(roles)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int8))
 
 
 def piece_keys(s: np.ndarray, measure: Measure, boundary: int) -> np.ndarray:
@@ -200,12 +206,15 @@ def shingle_marks(docs: DataFrame, id_col: str, text_col: str, words: int) -> Da
     return _texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, n_shingles long, mark long")
 
 
+PIECE = 2  # role of rows in piece lists; rows of subset lists have 0 or 1
+
+
 def _list_keys(measure: Measure, boundary: int, words: int):
-    """Rows ``key, sure, mark`` of every set; ``sure`` keys link whoever shares them.  A task gives equal sets it has just seen once."""
+    """Rows ``key, role, mark`` of every set.  A task gives equal sets it has just seen once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for b in batches:
-            marks, keys, sure, held = [], [], [], 0
+            marks, keys, roles, held = [], [], [], 0
             for text in b["text"]:
                 s = shingle_set(text, words)
                 mark = mark_of(s)
@@ -214,37 +223,42 @@ def _list_keys(measure: Measure, boundary: int, words: int):
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(mark)
-                kinds = [(subset_keys(s, measure, boundary), True)] if len(s) <= measure.largest(boundary) else []
-                kinds += [(piece_keys(s, measure, boundary), False)] if len(s) > boundary else []
-                for k, kind in kinds:
-                    marks.append(np.full(len(k), mark, np.int64)), keys.append(k), sure.append(np.full(len(k), kind))
+                kinds = [subset_keys(s, measure, boundary)] if len(s) <= measure.largest(boundary) else []
+                if len(s) > boundary:
+                    k = piece_keys(s, measure, boundary)
+                    kinds.append((k, np.full(len(k), PIECE, np.int8)))
+                for k, role in kinds:
+                    marks.append(np.full(len(k), mark, np.int64)), keys.append(k), roles.append(role)
                     held += len(k)
                 if held > 500_000:
-                    yield _list_frame(marks, keys, sure)
-                    marks, keys, sure, held = [], [], [], 0
+                    yield _list_frame(marks, keys, roles)
+                    marks, keys, roles, held = [], [], [], 0
             if held:
-                yield _list_frame(marks, keys, sure)
+                yield _list_frame(marks, keys, roles)
     return run
 
 
-def _list_frame(marks, keys, sure) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "sure": np.concatenate(sure), "mark": np.concatenate(marks)})
+def _list_frame(marks, keys, roles) -> pd.DataFrame:
+    return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "role": np.concatenate(roles), "mark": np.concatenate(marks)})
 
 
 def _first_of_list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive sorted by list; each member is tied to the first one of its list, whatever the list's length."""
-    key = sure = first = None
+    """Rows arrive sorted by list, role and mark; each member is tied to the first one of its list, whatever the list's length.
+
+    Ties of subset lists are links (``sure``) if the first one has the smaller side's role.
+    """
+    key = first = first_role = None
     for b in batches:
-        k, u, d = b["key"].to_numpy(), b["sure"].to_numpy(), b["mark"].to_numpy()
+        k, role, mark = b["key"].to_numpy(), b["role"].to_numpy(), b["mark"].to_numpy()
         if not len(k):
             continue
-        new = np.concatenate([[key is None or k[0] != key or u[0] != sure], (k[1:] != k[:-1]) | (u[1:] != u[:-1])])
-        heads = np.concatenate([[first if first is not None else d[0]], d[new]])
-        owner = heads[np.cumsum(new)]
-        tied = owner != d
+        new = np.concatenate([[key is None or k[0] != key], k[1:] != k[:-1]])
+        owner = np.concatenate([[mark[0] if first is None else first], mark[new]])[np.cumsum(new)]
+        owner_role = np.concatenate([[role[0] if first is None else first_role], role[new]])[np.cumsum(new)]
+        tied = (owner != mark) & (owner_role != 1)
         if tied.any():
-            yield pd.DataFrame({"sure": u[tied], "a": owner[tied], "b": d[tied]}).drop_duplicates()
-        key, sure, first = k[-1], u[-1], owner[-1]
+            yield pd.DataFrame({"sure": role[tied] != PIECE, "a": owner[tied], "b": mark[tied]}).drop_duplicates()
+        key, first, first_role = k[-1], owner[-1], owner_role[-1]
 
 
 def _tile_links(measure: Measure):
@@ -306,8 +320,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3, id_co
     boundary = choose_boundary(measure, small)
 
     named = _texts(docs, id_col, text_col).filter("doc_id is not null")
-    lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words), "key long, sure boolean, mark long")
-    ties = stored(lists.repartition("key", "sure").sortWithinPartitions("key", "sure", "mark").mapInPandas(_first_of_list, "sure boolean, a long, b long").distinct(), "list-ties")
+    lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words), "key long, role byte, mark long")
+    ties = stored(lists.repartition("key").sortWithinPartitions("key", "role", "mark").mapInPandas(_first_of_list, "sure boolean, a long, b long").distinct(), "list-ties")
     clusters = connected_components(ties.filter("not sure").select("a", "b"), "list-clusters").select(F.col("node").alias("mark"), F.col("component").alias("cluster"))
     wanted = classes.join(clusters, "mark").select(F.col("class_id").alias("doc_id"), F.col("mark").alias("wanted"), "cluster")
 

@@ -16,17 +16,18 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import product
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.llm.tables import ship, text_or_empty
+from hazeframe.llm.tables import ship, stored, text_or_empty
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
-STEM_LENGTHS = range(4, 9)
+STEM_LENGTHS = range(3, 9)
 #: Function words of the grammar.
 TARGETS = frozenset("you your yours yourself u they them their these those he she him her du dich dir dein deine ihr euch euer sie ihn toi vous votre vos ton tes ils elles tu te usted ustedes ellos ellas".split())
 NEGATIONS = frozenset("not no never nobody neither nor cannot isn aren wasn weren don doesn didn nicht kein keine keinen nie niemals ne pas jamais aucun nunca jamás ningún ninguna tampoco".split())
@@ -176,49 +177,55 @@ def training_rows(labels: DataFrame, most_rows: int, id_col: str = "doc_id") ->
     return rows.groupBy("l_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("l_id"), "l_id").limit(most_rows)
 
 
-def learn_lexicon(sample: DataFrame, least_support: int = 4, least_odds: float = 3.0, most_entries: int = 3000) -> Lexicon:
+def learn_lexicon(sample: DataFrame, least_odds: float = 2.5, prior: float = 3.0, least_contexts: int = 3, most_entries: int = 3000) -> Lexicon:
     """Words and stems that mark toxic documents of ``sample(text, toxic)``.
 
-    Counts are taken per document over all its words; a stem stands for its
-    extensions unless one of them has nearly all of its support.
+    A word counts once per document, a stem once per word.  Support is measured
+    in distinct preceding words (a 64-bit sketch), since copies of one toxic
+    document repeat all its words but in one context only.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: dict = defaultdict(lambda: [0, 0])
+            seen: dict = defaultdict(lambda: [0, 0, 0])
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = set(WORD.findall(text.lower()))
-                for part in {("w", w) for w in words} | {("s", w[:n]) for w in words for n in STEM_LENGTHS if len(w) >= n}:
-                    seen[part][toxic] += 1
-            yield pd.DataFrame([(k, p, c, t) for (k, p), (c, t) in seen.items()], columns=["kind", "part", "clean", "toxic"])
+                words = WORD.findall(text.lower())
+                for w in set(words):
+                    seen[w][toxic] += 1
+                for before, w in zip(["", *words], words) if toxic else ():
+                    seen[w][2] |= 1 << (crc32(before.encode()) % 63)
+            yield pd.DataFrame([(w, c, t, x) for w, (c, t, x) in seen.items()], columns=["part", "clean", "toxic", "contexts"])
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_clean, n_toxic = totals.get(0, 0), totals.get(1, 0)
-    parts = sample.select("text", "toxic").mapInPandas(count, "kind string, part string, clean long, toxic long").groupBy("kind", "part").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= least_support)
-    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-    rows = parts.withColumn("odds", odds).filter(F.col("odds") >= least_odds).filter(F.col("clean") <= F.col("toxic") * 0.25) \
-        .orderBy(F.desc("toxic"), "kind", "part").limit(most_entries).collect()
+    added = [F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.bit_or("contexts").alias("contexts")]
+    words = stored(sample.select("text", "toxic").mapInPandas(count, "part string, clean long, toxic long, contexts long").groupBy("part").agg(*added), "lexicon-words")
+    stems = words.select("clean", "toxic", "contexts", F.explode(F.transform(F.filter(F.array(*map(F.lit, STEM_LENGTHS)), lambda n: n <= F.char_length("part")),
+                                                                            lambda n: F.substr("part", F.lit(1), n))).alias("part")).groupBy("part").agg(*added)
+    filled = F.bit_count("contexts")
+    support = F.when(filled < 55, F.least(F.col("toxic").cast("double"), -63 * F.log(1 - filled / 63.0))).otherwise(F.col("toxic").cast("double"))
+    odds = F.log((F.col("support") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + prior) / (n_clean + 1.0))
+    both = words.select(F.lit("w").alias("kind"), *words.columns).unionByName(stems.select(F.lit("s").alias("kind"), *stems.columns))
+    rows = (both.filter(filled >= least_contexts).withColumn("support", support).withColumn("odds", odds).filter(F.col("odds") >= least_odds)
+            .orderBy(F.desc("odds"), "kind", "part").limit(most_entries).select("kind", "part", "support", "odds").collect())
     return pick_entries([tuple(r) for r in rows])
 
 
-def pick_entries(rows: list[tuple[str, str, int, int, float]]) -> Lexicon:
-    """From ``(kind, part, clean, toxic, odds)``: stems that several words share, and words no stem covers."""
-    stems = {p: (c, t, o) for k, p, c, t, o in rows if k == "s"}
-    words = {p: (c, t, o) for k, p, c, t, o in rows if k == "w"}
+def pick_entries(rows: list[tuple[str, str, float, float]]) -> Lexicon:
+    """From ``(kind, part, support, odds)``: stems that several words share, and words no stem covers."""
+    stems = {p: (s, o) for k, p, s, o in rows if k == "s"}
+    words = {p: (s, o) for k, p, s, o in rows if k == "w"}
     chosen: dict[str, float] = {}
-    for stem in sorted(stems, key=len):
-        if any(stem[:n] in chosen or stem[:n] in stems for n in range(4, len(stem))):
+    for stem in sorted(stems, key=lambda x: (len(x), x)):
+        if any(stem[:n] in stems for n in range(STEM_LENGTHS[0], len(stem))):
             continue
-        best = stem  # lengthen while one extension keeps its support and no word ends here
-        while True:
-            longer = [s for s in stems if len(s) == len(best) + 1 and s.startswith(best) and stems[s][1] >= 0.98 * stems[best][1]]
-            if not longer:
-                break
+        best = stem  # lengthen while one extension keeps the support
+        while longer := [s for s in stems if len(s) == len(best) + 1 and s.startswith(best) and stems[s][0] >= 0.98 * stems[best][0]]:
             best = longer[0]
-        if best in words and words[best][1] >= 0.9 * stems[best][1]:
+        under = [w for w in words if w.startswith(best)]
+        if len(under) == 1 and words[under[0]][0] >= 0.9 * stems[best][0]:
             continue  # one word, not a stem
-        chosen[best] = stems[best][2]
-    covered = lambda w: any(w[:n] in chosen for n in range(4, len(w) + 1))
-    return Lexicon({w: v[2] for w, v in words.items() if not covered(w)}, chosen)
+        chosen[best] = stems[best][1]
+    covered = lambda w: any(w[:n] in chosen for n in range(STEM_LENGTHS[0], len(w) + 1))
+    return Lexicon({w: v[1] for w, v in words.items() if not covered(w)}, chosen)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
