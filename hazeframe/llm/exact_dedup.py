@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.llm.tables import stored, text_or_empty
+from hazeframe.llm.tables import nested, stored, text_or_empty
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,6 +54,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns and one row per kept id and text."""
-    verdicts = exact_dedup(docs, id_col, text_col, salts).filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha")).distinct()
-    match = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__keep")) & (F.sha2(text_or_empty(text_col), 256) == F.col("__sha"))
-    return docs.join(verdicts, match, "left_semi")
+    verdicts = exact_dedup(docs, id_col, text_col, salts).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    rows = nested(docs, doc_id=F.col(f"`{id_col}`").cast("long"), sha=F.sha2(text_or_empty(text_col), 256))
+    return rows.join(verdicts, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")), "left_semi").select("row.*")

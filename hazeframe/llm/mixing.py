@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hazeframe.llm.tables import WORD, stored, tasks, text_or_empty
+from hazeframe.llm.tables import WORD, nested, stored, tasks, text_or_empty
 
 #: (time, relative weight) knots, dealt to the sources in turn: rising, level, falling.
 SCHEDULES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)))
@@ -110,11 +110,11 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     an id and a text count as that document once more each.
     """
     chosen = (mix(docs, id_col, text_col, source_col, **how).filter("copies > 0")
-              .groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__source"))
-              .agg(F.min("first_position").alias("__at"), F.sum("copies").alias("__copies"), F.count("*").alias("__rows")))
-    match = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__source"))
-             & (F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long") == F.col("__size")))
-    shared = F.ceil(F.col("__copies") / F.col("__rows")).cast("int")
-    out = docs.join(chosen, match).withColumn("__copy", F.explode(F.sequence(F.lit(1), shared)))
-    return (out.repartitionByRange(tasks(docs.sparkSession), "__at", "__id").sortWithinPartitions("__at", "__id", "__copy")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+              .groupBy(F.col("doc_id").alias("c_id"), F.col("size").alias("c_size"), F.col("source").alias("c_source"))
+              .agg(F.min("first_position").alias("at"), F.sum("copies").alias("copies"), F.count("*").alias("rows")))
+    rows = nested(docs, doc_id=F.col(f"`{id_col}`").cast("long"), source=F.col(f"`{source_col}`").cast("string"),
+                  size=F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long"))
+    match = F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))
+    shared = F.ceil(F.col("copies") / F.col("rows")).cast("int")
+    out = rows.join(chosen, match).withColumn("copy", F.explode(F.sequence(F.lit(1), shared)))
+    return out.repartitionByRange(tasks(docs.sparkSession), "at", "doc_id").sortWithinPartitions("at", "doc_id", "copy").select("row.*")

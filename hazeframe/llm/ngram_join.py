@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hazeframe.llm.graph import connected_components, local_forest
-from hazeframe.llm.tables import ship, stored, text_or_empty
+from hazeframe.llm.tables import nested, ship, stored, text_or_empty
 
 _RANDOM = np.random.default_rng(20240101).integers(0, 2**63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -381,5 +381,6 @@ def _cluster_links(members: DataFrame, measure: Measure, block_shingles: int, pi
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` whose id names their component, with their own columns."""
-    kept = jaccard_components(docs, id_col=id_col, text_col=text_col, **how).filter("doc_id <=> component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
+    kept = jaccard_components(docs, id_col=id_col, text_col=text_col, **how).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = nested(docs, doc_id=F.col(f"`{id_col}`").cast("long"))
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")

@@ -51,3 +51,8 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     spark.sparkContext.addPyFile(str(target))
     _SHIPPED.add(app)
+
+
+def nested(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` as one column ``row`` beside computed keys, so that no name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
