@@ -32,18 +32,25 @@ def build_where(scope: str | None = None, value: str | None = None, dates=None,
     if dates:
         column = "datetime_hour" if unit == "hour" else date_col
         kind = "timestamp" if unit == "hour" else "date"
+        _two_at_most(dates)
         bounds = [F.lit(d if isinstance(d, (date, datetime)) else str(d)).cast(kind) for d in dates]
         parts.append(F.col(column) == bounds[0] if len(bounds) == 1
-                     else F.col(column).between(bounds[0], bounds[1]))
+                     else F.col(column).between(*bounds))
     return conjunction(parts)
 
 
+def _two_at_most(dates) -> None:
+    if len(dates) > 2:
+        raise ValueError(f"one date or a first and a last one, not {len(dates)}")
+
+
 def monthly_where(dates, date_col: str = "date") -> Column:
     """Range over month starts that contain the given dates."""
     if not dates:
         return F.lit(True)
+    _two_at_most(dates)
     months = [F.lit(d.replace(day=1)).cast("date") for d in dates]
-    return F.col(date_col) == months[0] if len(months) == 1 else F.col(date_col).between(*months[:2])
+    return F.col(date_col) == months[0] if len(months) == 1 else F.col(date_col).between(*months)
 
 
 def present(*columns: str) -> Column:

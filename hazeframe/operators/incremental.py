@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
 from hazeframe.operators.dedup import keep_last
+from hazeframe.sources import versions
 
 
 def high_water_mark(control: DataFrame, source: str) -> datetime:
@@ -86,42 +87,38 @@ def materialize(df: DataFrame, name: str, mode: str, path: str | None = None, ke
                 partition: str | None = None) -> DataFrame:
     """Store a model: ``view``, ``table``, ``append`` or ``delete_insert``.
 
-    ``delete_insert`` on a partitioned table rewrites only the partitions that
-    receive rows (dynamic partition overwrite): the key must determine the
-    partition.  Unpartitioned, the new version is staged beside the table.
+    ``delete_insert`` rewrites the partitions that receive rows (or the whole
+    table) into new folders and then switches to them, see
+    ``hazeframe.sources.versions``; the key must determine the partition.
+    Columns that the old or the new rows lack are null there.
     """
     spark = df.sparkSession
     if mode == "view":
         df.createOrReplaceTempView(name)
         return df
-    if mode not in ("table", "append", "delete_insert"):
+    if mode == "delete_insert":
+        touched = versions.slots_of(df, partition)
+        old = versions.read_table(spark, path, touched)
+        versions.replace_partitions(df if old is None else upsert(old, df, list(keys)), path, partition, touched)
+    elif mode == "table":
+        versions.replace_table(df, path, partition)
+    elif mode == "append":
+        versions.append_rows(df, path, partition)
+    else:
         raise ValueError(f"unknown mode {mode}")
-    if mode == "delete_insert" and path_exists(spark, path):
-        old = spark.read.parquet(path)
-        if partition:
-            touched = df.select(partition).distinct()
-            merged = upsert(old.join(touched, partition, "left_semi"), df, list(keys))
-            writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-            writer.parquet(path)
-        else:
-            staged = f"{path}__staged"
-            upsert(old, df, list(keys)).write.mode("overwrite").parquet(staged)
-            spark.read.parquet(staged).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    writer = df.write.mode("append" if mode == "append" else "overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return spark.read.option("mergeSchema", True).parquet(path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return versions.read_table(spark, path)
 
 
 # --- backfill -----------------------------------------------------------------------
 
-def is_legacy_shape(columns) -> bool:
-    return "ward_code" not in columns or "traffic_source" not in columns
+TRAFFIC_KEYS = ["ward_code", "timestamp_utc", "traffic_source"]
+#: What a row must carry to be of the current shape.
+CURRENT_COLUMNS = ("ward_code", "traffic_source")
+
+
+def lacking(columns, wanted=CURRENT_COLUMNS) -> list[str]:
+    """The wanted columns that are absent."""
+    return [c for c in wanted if c not in set(columns)]
 
 
 def normalise_traffic(df: DataFrame, enrich) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +128,7 @@ def normalise_traffic(df: DataFrame, enrich) -> tuple[DataFrame, DataFrame]:
     it; current rows only when ward metadata is missing.
     """
     admin = ["ward_code", "ward_name", "province_name", "nearest_highway_type", "distance_to_road_km"]
-    legacy = is_legacy_shape(df.columns)
+    legacy = bool(lacking(df.columns))
     defaults = {"source": "tomtom", "confidence": 0.0, "current_speed": 0.0, "free_flow_speed": 0.0,
                 "current_travel_time": 0, "free_flow_travel_time": 0, "raw_payload": "", "ingest_batch_id": ""}
     for name, default in defaults.items():
@@ -152,7 +149,7 @@ def normalise_traffic(df: DataFrame, enrich) -> tuple[DataFrame, DataFrame]:
         "nearest_highway_type": F.coalesce("nearest_highway_type", F.lit("unknown")),
         "distance_to_road_km": F.coalesce("distance_to_road_km", F.lit(0.0))})
     rows = rows.filter(F.coalesce("ward_code", F.lit("")) != "")
-    return keep_last(rows, ["ward_code", "timestamp_utc", "traffic_source"], "ingest_time", ["raw_payload"]), quarantine
+    return keep_last(rows, TRAFFIC_KEYS, "ingest_time", ["raw_payload"]), quarantine
 
 
 def time_slices(start: datetime, end: datetime, step: timedelta) -> list[tuple[datetime, datetime]]:
@@ -163,17 +160,32 @@ def time_slices(start: datetime, end: datetime, step: timedelta) -> list[tuple[d
     return out
 
 
-def backfill(df: DataFrame, enrich, start: datetime, end: datetime, step: timedelta, target: str, quarantine: str) -> None:
-    """Rebuild slice by slice; each slice overwrites only its own folder, so a
-    rerun after a failure repeats slices without duplicating rows."""
+def backfill(df: DataFrame, enrich, step: timedelta, target: str, quarantine: str,
+             start: datetime | None = None, end: datetime | None = None) -> None:
+    """Rebuild slice by slice of ingest time; each slice overwrites only its own folder,
+    so a rerun after a failure repeats slices without duplicating rows.
+
+    Without bounds the slices cover the whole input.  A key may come in several
+    slices: read the result with ``backfilled``.
+    """
+    if start is None or end is None:
+        low, high = df.agg(F.min("ingest_time"), F.max("ingest_time")).first()
+        if low is None:
+            return
+        start, end = start or low, end or high + timedelta(microseconds=1)
     for lo, hi in time_slices(start, end, step):
         part = df.filter((F.col("ingest_time") >= F.lit(lo)) & (F.col("ingest_time") < F.lit(hi)))
         good, bad = normalise_traffic(part, enrich)
-        tag = f"slice={lo:%Y%m%dT%H%M%S}"
+        tag = f"slice={lo:%Y%m%dT%H%M%S%f}"
         good.write.mode("overwrite").parquet(f"{target}/{tag}")
         bad.write.mode("overwrite").parquet(f"{quarantine}/{tag}")
 
 
+def backfilled(spark: SparkSession, target: str) -> DataFrame:
+    """All slices, with the last row of a key that several slices hold."""
+    return keep_last(spark.read.option("mergeSchema", True).parquet(target).drop("slice"), TRAFFIC_KEYS, "ingest_time", ["raw_payload"])
+
+
 def replay_delta(df: DataFrame, enrich, watermark: datetime) -> tuple[DataFrame, DataFrame]:
     """Rows that arrived since the backfill began, in target shape."""
     return normalise_traffic(df.filter(F.col("ingest_time") >= F.lit(watermark)), enrich)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
@@ -114,9 +116,10 @@ def weather_ward_hourly(staged: DataFrame) -> DataFrame:
 
 
 def partition_mean(df: DataFrame, keys: list[str], columns: list[str], prefix: str = "province_") -> DataFrame:
-    """Whole-partition averages beside every row (window form, for bounded groups)."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({f"{prefix}{c}": F.avg(c).over(w) for c in columns})
+    """Averages of the row's group beside every row, combined before the shuffle; null keys form groups."""
+    means = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.avg(c).alias(f"{prefix}{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(means, same).drop(*[f"_{k}" for k in keys])
 
 
 # --- traffic -----------------------------------------------------------------------

@@ -259,11 +259,11 @@ def breach_by_province(compliance: DataFrame, as_of, days: int, n: int = 15) ->
             .orderBy(F.desc(F.col("who_breach_days") + F.col("tcvn_breach_days")), "province").limit(n))
 
 
-def high_risk_hours(province_hourly: DataFrame, as_of, days: int, where: Column | None = None, cap: int = 24) -> DataFrame:
+def high_risk_hours(province_hourly: DataFrame, as_of, days: int, where: Column | None = None) -> DataFrame:
     rows = province_hourly.filter(_days_back("date", as_of, days) & (F.col("source_mix") == "observed") & present("province") & _on(where))
     hours = rows.groupBy("province", "date", "datetime_hour").agg(F.max("avg_aqi_us").alias("hourly_aqi_us"))
     return hours.groupBy("province", "date").agg(
-        F.least(F.lit(cap).cast("bigint"), F.count_if(F.col("hourly_aqi_us") > 150)).alias("high_risk_hours"))
+        F.count_if(F.col("hourly_aqi_us") > 150).alias("high_risk_hours"))
 
 
 # --- traffic ----------------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,40 @@ def list_files(spark: SparkSession, root: str, routes=fv.LANDING_ROUTES, prefixe
     return first.withColumn("table", route_expr(F.col("path"), root, routes, prefixes))
 
 
+def header_names(header: str) -> list[str]:
+    """Column names of a header line; quoted names may hold commas."""
+    return [n.strip().lstrip("\ufeff") for n in next(csv.reader([header.lstrip("\ufeff")]))]
+
+
+def _text_groups(spark: SparkSession, files: DataFrame):
+    """(table, its rows as text with ``_path``) for every distinct header."""
+    groups = files.filter(F.col("table").isNotNull()).groupBy("table", "header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    for g in groups:
+        text = T.StructType([T.StructField(n, T.StringType()) for n in header_names(g["header"])])
+        yield g["table"], (spark.read.schema(text).option("header", True).option("multiLine", True).option("escape", '"')
+                           .csv(g["paths"]).select("*", F.col("_metadata.file_path").alias("_path")))
+
+
+def rejects(raw: DataFrame, schema, path: str = "_path") -> DataFrame:
+    """``path, column, text`` of every value that is not blank and cannot be read in its column's type."""
+    bad = []
+    for f in _struct(schema).fields:
+        if f.name in raw.columns:
+            text = F.col(f"`{f.name}`")
+            bad.append(F.when((F.trim(text) != "") & coerce_column(text, f.dataType).isNull(), F.struct(F.lit(f.name).alias("column"), text.alias("text"))))
+    if not bad:
+        return raw.sparkSession.createDataFrame([], "path string, column string, text string")
+    return raw.select(F.col(path).alias("path"), F.explode(F.array_compact(F.array(*bad))).alias("bad")).select("path", "bad.column", "bad.text")
+
+
+def landing_rejects(spark: SparkSession, root: str, routes=fv.LANDING_ROUTES, prefixes=fv.LANDING_PREFIXES, schemas=RAW_SCHEMAS) -> DataFrame:
+    """``table, path, column, text`` of everything that ``load_landing`` reads as NULL although it is not blank."""
+    out = spark.createDataFrame([], "table string, path string, column string, text string")
+    for table, raw in _text_groups(spark, list_files(spark, root, routes, prefixes)):
+        out = out.unionByName(rejects(raw, schemas[table]).select(F.lit(table).alias("table"), "*"))
+    return out
+
+
 def load_landing(spark: SparkSession, root: str, run_id: str, started_at, routes=fv.LANDING_ROUTES,
                  prefixes=fv.LANDING_PREFIXES, schemas=RAW_SCHEMAS) -> tuple[dict[str, DataFrame], DataFrame]:
     """Load every routable file -> ({table: typed rows}, unroutable files).
@@ -79,23 +115,17 @@ def load_landing(spark: SparkSession, root: str, run_id: str, started_at, routes
     differ in column order.
     """
     files = list_files(spark, root, routes, prefixes)
-    groups = files.filter(F.col("table").isNotNull()).groupBy("table", "header").agg(
-        F.sort_array(F.collect_list("path")).alias("paths")).collect()
     tables: dict[str, DataFrame] = {}
-    for g in groups:
-        names = [n.strip().strip('"').lstrip("﻿") for n in g["header"].split(",")]
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = (spark.read.schema(text).option("header", True).option("multiLine", True).option("escape", '"')
-               .csv(g["paths"]).select("*", F.col("_metadata.file_path").alias("_path")))
-        known = coerce(raw, schemas[g["table"]])
+    for table, raw in _text_groups(spark, files):
+        known = coerce(raw, schemas[table])
         if not known.columns:
             continue
         typed = raw.select("_path", *[
             coerce_column(F.col(f"`{n}`"), t).alias(n)
-            for n, t in ((f.name, f.dataType) for f in _struct(schemas[g["table"]]).fields) if n in raw.columns])
+            for n, t in ((f.name, f.dataType) for f in _struct(schemas[table]).fields) if n in raw.columns])
         part = stamp_lineage(typed, run_id, started_at, F.col("_path")).drop("_path")
-        seen = tables.get(g["table"])
-        tables[g["table"]] = part if seen is None else seen.unionByName(part, allowMissingColumns=True)
+        seen = tables.get(table)
+        tables[table] = part if seen is None else seen.unionByName(part, allowMissingColumns=True)
     unrouted = files.filter(F.col("table").isNull()).select("path", F.lit("NO_TABLE_MAPPING").alias("reason"))
     return tables, unrouted
 

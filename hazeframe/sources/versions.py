@@ -1,0 +1,103 @@
+"""Stored tables whose versions switch by a manifest.
+
+Rows are written into a new folder; then one small manifest file, which names
+the folders of every partition, appears under the next number.  Readers follow
+the highest number, so a job that dies before the switch changes nothing and a
+repeated one starts from the same rows.  Columns that only some files have are
+read as null elsewhere.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+WHOLE = ""  # partition name of an unpartitioned table
+_SLOT = "__slot"
+
+
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _manifests(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    fs, where = _fs(spark, f"{path}/_manifests")
+    if not fs.exists(where):
+        return []
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(where)]
+    return sorted((int(n.split(".")[0]), full) for n, full in names if n.endswith(".json"))
+
+
+def current(spark: SparkSession, path: str) -> tuple[int, dict[str, list[str]]]:
+    """Number and content (partition -> folders) of the newest manifest; (0, {}) for a new table."""
+    known = _manifests(spark, path)
+    if not known:
+        return 0, {}
+    number, file = known[-1]
+    return number, json.loads("".join(r.value for r in spark.read.text(file, wholetext=True).collect()))
+
+
+def switch(spark: SparkSession, path: str, number: int, content: dict[str, list[str]]) -> None:
+    """Publish manifest ``number``; fails if another writer has published it."""
+    fs, target = _fs(spark, f"{path}/_manifests/{number:010d}.json")
+    if fs.exists(target):
+        raise RuntimeError(f"manifest {number} of {path} exists: another writer was faster")
+    _, draft = _fs(spark, f"{path}/_manifests/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.close()
+    if not fs.rename(draft, target):
+        raise RuntimeError(f"could not publish manifest {number} of {path}")
+
+
+def slot_of(partition: str | None):
+    return F.lit(WHOLE) if partition is None else F.coalesce(F.concat(F.lit("v"), F.col(partition).cast("string")), F.lit("null"))
+
+
+def write_folder(df: DataFrame, path: str, partition: str | None) -> dict[str, list[str]]:
+    """Write rows into a new folder; returns the folders of each partition that received rows."""
+    folder = f"{path}/data-{uuid.uuid4().hex}"
+    if partition is None:
+        df.write.parquet(folder)
+        return {WHOLE: [folder]}
+    df.withColumn(_SLOT, slot_of(partition)).write.partitionBy(_SLOT).parquet(folder)
+    fs, where = _fs(df.sparkSession, folder)
+    found = [s.getPath() for s in fs.listStatus(where) if s.isDirectory() and s.getPath().getName().startswith(f"{_SLOT}=")]
+    return {unquote(p.getName().split("=", 1)[1]): [p.toString()] for p in found}
+
+
+def read_table(spark: SparkSession, path: str, slots: list[str] | None = None) -> DataFrame | None:
+    """The newest version, or only some of its partitions; None where there are no rows to read."""
+    _, content = current(spark, path)
+    folders = [f for slot, fs in content.items() if slots is None or slot in slots for f in fs]
+    return spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
+
+
+def slots_of(df: DataFrame, partition: str | None) -> list[str]:
+    """Names of the partitions that rows belong to (as many as there are partitions, not rows)."""
+    return [WHOLE] if partition is None else [r[0] for r in df.select(slot_of(partition)).distinct().collect()]
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str | None, touched: list[str]) -> None:
+    """Publish ``df`` as the new content of the touched partitions; the others stay as they are."""
+    spark = df.sparkSession
+    number, content = current(spark, path)
+    fresh = write_folder(df, path, partition)
+    switch(spark, path, number + 1, {k: v for k, v in content.items() if k not in touched} | fresh)
+
+
+def replace_table(df: DataFrame, path: str, partition: str | None = None) -> None:
+    number, _ = current(df.sparkSession, path)
+    switch(df.sparkSession, path, number + 1, write_folder(df, path, partition))
+
+
+def append_rows(df: DataFrame, path: str, partition: str | None = None) -> None:
+    number, content = current(df.sparkSession, path)
+    for slot, folders in write_folder(df, path, partition).items():
+        content[slot] = content.get(slot, []) + folders
+    switch(df.sparkSession, path, number + 1, content)

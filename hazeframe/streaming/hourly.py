@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.functions.times import hour_of
 from hazeframe.operators.dedup import final
-from hazeframe.operators.incremental import path_exists, upsert
+from hazeframe.operators.incremental import upsert
+from hazeframe.sources import versions
 
 HOUR_KEYS = ["datetime_hour", "station_id", "source", "pollutant"]
 
@@ -29,14 +32,20 @@ def merge_partials(partials: DataFrame) -> DataFrame:
         F.max("max_value").alias("max_value"), F.min("min_value").alias("min_value"))
 
 
+def run_of(checkpoint: str) -> str:
+    """Short name of a stream run, the same for every restart from its checkpoint."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def start_hourly_partials(stream: DataFrame, target: str, checkpoint: str):
-    """Every micro-batch adds its partials under ``batch=<id>``.
+    """Every micro-batch adds its partials under ``run=<id>/batch=<id>``.
 
-    A replayed batch overwrites its own folder, so figures stay exact after a
+    The run is named after the checkpoint, since batch ids start again with a
+    new one.  A replayed batch overwrites its own folder, so figures stay exact after a
     failure; late rows simply add to their hour; no state is held.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        hourly_partials(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        hourly_partials(batch).write.mode("overwrite").parquet(f"{target}/run={run_of(checkpoint)}/batch={batch_id}")
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
@@ -59,14 +68,16 @@ def dedup_stream(stream: DataFrame, keys: list[str], ts: str, within: str = "1 d
 def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: list[str], version: str,
                  partition: str, tiebreak: list[str] = ()):
     """Last writer wins per key.  Only the partitions a batch touches are rewritten,
-    and rewriting them twice gives the same rows, so replays are harmless."""
+    into new folders that a manifest switches to (``hazeframe.sources.versions``):
+    a crash leaves the old rows, and a replay gives the same rows again."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = final(batch, keys, version, list(tiebreak))
-        if path_exists(spark, target):
-            old = spark.read.parquet(target).join(batch.select(partition).distinct(), partition, "left_semi")
-            new = final(old.unionByName(new), keys, version, list(tiebreak))
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
+        touched = versions.slots_of(new, partition)
+        old = versions.read_table(spark, target, touched)
+        if old is not None:
+            new = final(old.unionByName(new, allowMissingColumns=True), keys, version, list(tiebreak))
+        versions.replace_partitions(new, target, partition, touched)
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
@@ -77,18 +88,18 @@ def recompute_hours(stream: DataFrame, history: str, target: str, checkpoint: st
 
     Both writes are idempotent per batch: history by batch folder, target by key.
     """
+    run = run_of(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         day = F.to_date(ts)
-        batch.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{history}/batch={batch_id}")
-        new = spark.read.parquet(f"{history}/batch={batch_id}")
+        batch.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{history}/run={run}/batch={batch_id}")
+        new = spark.read.parquet(f"{history}/run={run}/batch={batch_id}")
         hours = new.select("day", hour_of(ts).alias("_hour")).distinct()  # day prunes partitions
-        rows = spark.read.parquet(history).withColumn("_hour", hour_of(ts)).join(hours, ["day", "_hour"], "left_semi")
-        fresh = build(rows.drop("_hour", "batch", "day")).withColumn("day", F.to_date("datetime_hour"))
-        if path_exists(spark, target):
-            days = new.select("day").distinct()
-            old = spark.read.parquet(target).join(days, "day", "left_semi")
-            fresh = upsert(old, fresh, ["datetime_hour"])
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+        rows = spark.read.option("mergeSchema", True).parquet(history).withColumn("_hour", hour_of(ts)).join(hours, ["day", "_hour"], "left_semi")
+        fresh = build(rows.drop("_hour", "run", "batch", "day")).withColumn("day", F.to_date("datetime_hour"))
+        touched = versions.slots_of(new, "day")
+        old = versions.read_table(spark, target, touched)
+        versions.replace_partitions(fresh if old is None else upsert(old, fresh, ["datetime_hour"]), target, "day", touched)
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -112,10 +112,10 @@ def _(spark, d):
     return e.select("event_id", times.station_time_to_utc("iso", "s", "tz", F.lit(R.AS_OF)).alias("utc"))
 
 
-@query("great_circle", "X12", out(f"(SELECT w.ward_code, s.station_name, {haversine('s.longitude', 's.latitude', 'w.longitude', 'w.latitude')} AS metres FROM stations s JOIN wards w ON s.province = w.province)", "ward_code station_name ~metres"))
+@query("great_circle", "X12", out(f"(SELECT w.ward_code, s.station_name, {haversine('s.longitude', 's.latitude', 'w.longitude', 'w.latitude')} AS metres FROM stations s JOIN wards w ON s.ward_code = w.ward_code)", "ward_code station_name ~metres"))
 def _(spark, d):
     w = R.wards(spark, d).select("ward_code", "province", F.col("latitude").alias("wlat"), F.col("longitude").alias("wlon"))
-    return R.stations(spark, d).drop("ward_code").join(w, "province").select("ward_code", "station_name", geo.great_circle_m("longitude", "latitude", "wlon", "wlat").alias("metres"))
+    return R.stations(spark, d).join(w.drop("province"), "ward_code").select("ward_code", "station_name", geo.great_circle_m("longitude", "latitude", "wlon", "wlat").alias("metres"))
 
 
 @query("ward_code_padding", "X13", out(f"(SELECT o_orderkey, {pad5('CAST(o_custkey AS VARCHAR)')} AS code FROM orders)", "o_orderkey code"))

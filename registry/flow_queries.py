@@ -14,7 +14,7 @@ from hazeframe import fixed_values as fv
 from hazeframe.operators import incremental as inc
 from hazeframe.operators import quality, spatial
 from hazeframe.session import shared_folder
-from hazeframe.sources import landing, payloads, schemas, sinks
+from hazeframe.sources import landing, payloads, schemas, sinks, versions
 from hazeframe.streaming import hourly
 from registry import roles as R
 from registry.base import query
@@ -93,6 +93,17 @@ def _(spark, d):
     return inc.materialize(redo, "totals", "delete_insert", path, ["o_custkey", "month"], "year").drop("year")
 
 
+@query("materialise_schema_growth", "S8", out("(SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal * 2 WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS rank, s_nationkey FROM supplier)", "s_suppkey s_name ~s_acctbal rank s_nationkey"))
+def _(spark, d):
+    """A column joins in a first delete-and-insert; a second one into the same partitions keeps its values."""
+    path, s = shared_folder(spark, "grown"), R.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    inc.materialize(s.drop("s_acctbal"), "s", "table", path, partition="s_nationkey")
+    inc.materialize(s.filter("s_suppkey % 2 = 0"), "s", "delete_insert", path, ["s_suppkey", "s_nationkey"], "s_nationkey")
+    third = s.filter("s_suppkey % 3 = 0").withColumn("s_acctbal", F.col("s_acctbal") * 2).withColumn("rank", F.col("s_nationkey"))
+    inc.materialize(inc.materialize(third, "s", "delete_insert", path, ["s_suppkey", "s_nationkey"], "s_nationkey"), "grown_suppliers", "view")
+    return spark.table("grown_suppliers").select("s_suppkey", "s_name", "s_acctbal", "rank", "s_nationkey")
+
+
 @query("materialise_append", "S8", out("(SELECT s_suppkey, s_name, NULL::DOUBLE AS s_acctbal FROM supplier UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier)", "s_suppkey s_name ~s_acctbal"))
 def _(spark, d):
     path, s = shared_folder(spark, "append"), R.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
@@ -228,8 +239,8 @@ def _(spark, d):
     def enrich(df):
         refs = R.wards(spark, d).select("ward_code", "ward_name", F.col("province").alias("province_name"), "nearest_highway_type", "distance_to_road_km", F.col("latitude").alias("ref_lat"), F.col("longitude").alias("ref_lon"))
         return spatial.nearest_enrich(df, refs, ref_key="ward_code")
-    inc.backfill(e, enrich, datetime(2024, 1, 1), datetime(2024, 2, 1), timedelta(days=16), f"{root}/good", f"{root}/bad")
-    return inc.reconcile_counts(e, spark.read.parquet(f"{root}/good"))
+    inc.backfill(e, enrich, timedelta(days=16), f"{root}/good", f"{root}/bad")
+    return inc.reconcile_counts(e, inc.backfilled(spark, f"{root}/good"))
 
 
 # --- streaming --------------------------------------------------------------------------------
@@ -259,7 +270,7 @@ def _(spark, d):
     stream, folder = _stream(spark, d)
     dated = stream.withColumn("day", F.to_date("timestamp_utc"))
     hourly.start_upsert(dated, f"{folder}/out", f"{folder}/ck", ["station_id", "timestamp_utc", "parameter", "day"], "raw_loaded_at", "day", ["raw_sync_run_id"]).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").drop("day", "source")
+    return versions.read_table(spark, f"{folder}/out").drop("day", "source")
 
 
 @query("stream_affected_hours", "R2 F2", out(f"(SELECT datetime_hour, count(*) AS readings, avg(value) AS avg_value FROM (SELECT date_trunc('hour', timestamp_utc) AS datetime_hour, value FROM raw_aqiin WHERE parameter IN ({SIX})) GROUP BY datetime_hour)", "datetime_hour readings ~avg_value"))
@@ -269,7 +280,7 @@ def _(spark, d):
     def build(rows):
         return rows.filter(F.col("parameter").isin(fv.POLLUTANTS)).groupBy(F.date_trunc("hour", "timestamp_utc").alias("datetime_hour")).agg(F.count(F.lit(1)).alias("readings"), F.avg("value").alias("avg_value"))
     hourly.recompute_hours(stream, f"{folder}/history", f"{folder}/out", f"{folder}/ck", build).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").drop("day")
+    return versions.read_table(spark, f"{folder}/out").drop("day")
 
 
 # --- quality -------------------------------------------------------------------------------------

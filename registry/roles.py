@@ -37,15 +37,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _READ[key]
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core when a small file arrives as fewer scan tasks than cores.
-
-    A table of realistic size has more splits than that and is left as read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def province_of_nation(nation) -> F.Column:
     return pick(fv.PROVINCES, F.col(nation) * 3 % len(fv.PROVINCES))
 
@@ -79,7 +70,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     """Events as readings; the odd factor keeps values from ending on a rounding tie."""
     key = (spark.sparkContext.applicationId, folder, "readings")
     if key not in _READ:
-        _READ[key] = spread(table(spark, folder, "events"), "event_id").withColumns({
+        _READ[key] = table(spark, folder, "events").withColumns({
             "k": F.get_json_object("props", "$.k").cast("int"), "value": F.col("value") * 1.000031415926535,
             "sk": F.floor(F.col("user_id") / 10), "custkey": F.floor(F.col("user_id") / 10) * 11 + F.col("user_id") % 2})
     return _READ[key]

@@ -1,0 +1,89 @@
+"""Stored tables: schema growth, a crash before the switch, backfill across slices, hand-written figures."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from hazeframe import session
+from hazeframe.functions import aqi
+from hazeframe.functions.predicates import monthly_where
+from hazeframe.operators import incremental as inc
+from hazeframe.sources import landing, versions
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_grown_columns_survive_later_rewrites(spark, tmp_path):
+    path = str(tmp_path / "t")
+    inc.materialize(spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, None, 3.0)], "id long, p string, v double"), "t", "table", path, partition="p")
+    inc.materialize(spark.createDataFrame([(1, "a", 9.0, 30.0)], "id long, p string, v double, w double"), "t", "delete_insert", path, ["id", "p"], "p")
+    out = inc.materialize(spark.createDataFrame([(2, "a", 8.0), (4, "b c/d", 4.0)], "id long, p string, v double"), "t", "delete_insert", path, ["id", "p"], "p")
+    assert rows(out.select("id", "p", "v", "w")) == rows(spark.createDataFrame(
+        [(1, "a", 9.0, 30.0), (2, "a", 8.0, None), (3, None, 3.0, None), (4, "b c/d", 4.0, None)], "id long, p string, v double, w double"))
+    whole = str(tmp_path / "u")
+    inc.materialize(out.drop("w"), "u", "append", whole)
+    assert inc.materialize(out.filter("id = 1"), "u", "delete_insert", whole, ["id"]).filter("w = 30").count() == 1
+
+
+def test_crash_between_write_and_switch_keeps_the_table(spark, tmp_path, monkeypatch):
+    path, old = str(tmp_path / "t"), spark.createDataFrame([(1, 1.0), (2, 2.0)], "id long, v double")
+    inc.materialize(old, "t", "table", path)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+    new = spark.createDataFrame([(2, 7.0)], "id long, v double")
+    with monkeypatch.context() as m:
+        m.setattr(versions, "switch", dies)
+        with pytest.raises(KeyboardInterrupt):
+            inc.materialize(new, "t", "delete_insert", path, ["id"])
+    assert rows(versions.read_table(spark, path)) == [(1, 1.0), (2, 2.0)]
+    assert rows(inc.materialize(new, "t", "delete_insert", path, ["id"])) == [(1, 1.0), (2, 7.0)]
+    number, content = versions.current(spark, path)
+    with pytest.raises(RuntimeError):
+        versions.switch(spark, path, number, content)
+
+
+def test_backfill_keeps_one_row_per_key_across_slices(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    admin = ["ward_name", "province_name", "nearest_highway_type", "distance_to_road_km"]
+    df = spark.createDataFrame([("1", "api", t, t, 9.0), ("1", "api", t, t + timedelta(days=3), 5.0), ("2", "api", t, t + timedelta(days=40), 4.0)],
+                               "ward_code string, traffic_source string, timestamp_utc timestamp, ingest_time timestamp, current_speed double")
+    df = df.withColumns({c: F.lit("x") if c != "distance_to_road_km" else F.lit(1.0) for c in admin})
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    inc.backfill(df, lambda d: (d.withColumns({"ward_code": F.lit("z"), **{c: F.lit("x") for c in admin[:3]}, "distance_to_road_km": F.lit(1.0)}), d.limit(0)), timedelta(days=1), good, bad)
+    assert rows(inc.backfilled(spark, good).select("ward_code", "current_speed")) == [("1", 5.0), ("2", 4.0)]
+
+
+def test_shared_folder_is_required_on_clusters():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077", "applicationId": "x"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster, "p")
+
+
+def test_dates_are_one_or_two():
+    with pytest.raises(ValueError):
+        monthly_where([datetime(2024, m, 1) for m in (1, 2, 3)])
+
+
+def test_published_breakpoints_by_hand(spark):
+    cases = [("pm25", 0.0, 0), ("pm25", 12.0, 50), ("pm25", 35.4, 100), ("pm25", 55.4, 150), ("pm10", 54.0, 50), ("no2", 100.0, 100), ("o3", 70.0, 100)]
+    got = spark.createDataFrame(cases, "p string, v double, want int").select("want", aqi.us_aqi("p", "v").alias("i")).collect()
+    assert all(abs(r.i - r.want) < 0.5 for r in got)
+
+
+def test_unreadable_text_is_reported(spark, tmp_path):
+    (tmp_path / "aqi_in").mkdir()
+    (tmp_path / "aqi_in" / "one.csv").write_text('station_name,"odd, name",value,timestamp_utc\nA,z,"12,5",2024-01-01T00:00:00Z\nB,z,,not a time\nC,z,1.5,2024-01-01T00:00:00Z\n')
+    bad = landing.landing_rejects(spark, str(tmp_path))
+    assert rows(bad.select("table", "column", "text")) == [("raw_aqiin_measurements", "timestamp_utc", "not a time"), ("raw_aqiin_measurements", "value", "12,5")]
+    tables, _ = landing.load_landing(spark, str(tmp_path), "r", datetime(2024, 1, 2))
+    assert {r.station_name: r.value for r in tables["raw_aqiin_measurements"].collect()} == {"A": None, "B": None, "C": 1.5}
