@@ -9,6 +9,7 @@ A revisit is resolved by joining it to the original response it refers to.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -57,7 +58,7 @@ def plan_records(pages: DataFrame, least: int = 100) -> DataFrame:
 
 
 def write_archives(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 4000) -> None:
-    """Write one record per row; files hold ``records_per_file`` records at most."""
+    """Write one record per row into gzip files of ``records_per_file`` records at most."""
     is_revisit = F.col("original_id").isNotNull()
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(END))
     optional = lambda name, value: F.coalesce(line(name, value), F.lit(""))
@@ -71,11 +72,12 @@ def write_archives(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:
             line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", _record_id(F.col("original_id"), F.col("digest"))),
             optional("WARC-Refers-To-Target-URI", _one_line(F.col("original_url"))), line("WARC-Refers-To-Date", F.lit(date)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html; charset=utf-8")), line("Content-Length", F.octet_length(body).cast("string")), F.lit(END), body)
-    planned.select(record.alias("value")).write.option("lineSep", END * 2).option("maxRecordsPerFile", records_per_file).text(path)
+    planned.select(record.alias("value")).write.option("lineSep", END * 2).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of one archive."""
+    content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
     at, mark = 0, b"\r\n\r\n"
     while at < len(content):
         head_end = content.index(mark, at)
