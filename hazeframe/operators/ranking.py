@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeframe.operators.dedup import limit_by
+from hazeframe.session import stored
 
 
 def top_n(df: DataFrame, keys: list[str], aggregate, n: int, alias: str, ascending: bool = False) -> DataFrame:
@@ -53,64 +54,72 @@ def rank_large(df: DataFrame, metric: str, alias: str = "rank", buckets: int = 2
 
     Value ranges come from approximate quantiles (only a balance hint: any cut
     points give exact ranks).  Rows are counted per distinct value, ranked
-    inside their range, and offset by the counts of the higher ranges.
+    inside their range, and offset by the counts of the higher ranges.  Rows of
+    a value that more than 1/``buckets`` of all rows have (there are fewer than
+    ``buckets`` such values) are dealt to ``buckets`` keys of the last join.
     """
     cuts = sorted(set(df.approxQuantile(metric, [i / buckets for i in range(1, buckets)], 0.01)))
     bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(metric))) if cuts else F.lit(0)
     counts = df.groupBy(metric).agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", bucket)
     totals = counts.groupBy("_b").agg(F.sum("_n").alias("_t"))  # at most ``buckets`` rows
     above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(above), F.lit(0)).alias("_off"))
+    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(above), F.lit(0)).alias("_off"), F.sum("_t").over(Window.partitionBy()).alias("_all"))
     inside = Window.partitionBy("_b").orderBy(F.desc(metric)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
              .join(F.broadcast(offsets), "_b")
-             .select(F.col(metric).alias("_m"), (F.col("_in") + F.col("_off") + 1).alias(alias)))
-    return df.join(ranks, F.col(metric).eqNullSafe(F.col("_m"))).drop("_m")
+             .select(F.col(metric).alias("_m"), (F.col("_in") + F.col("_off") + 1).alias(alias), (F.col("_n") * buckets > F.col("_all")).alias("_hot")))
+    hot = ranks.filter("_hot").select(F.col("_m").alias("_hm"), "_hot")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(buckets))).otherwise(F.lit(0).cast("bigint"))
+    salted = df.join(F.broadcast(hot), F.col(metric).eqNullSafe(F.col("_hm")), "left").withColumn("_salt", salt).drop("_hm", "_hot")
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(F.col("_hot"), F.lit(buckets - 1)).otherwise(F.lit(0)).cast("bigint")))
+    ranks = ranks.select("_m", alias, salts.alias("_s"))
+    return salted.join(ranks, F.col(metric).eqNullSafe(F.col("_m")) & (F.col("_salt") == F.col("_s"))).drop("_m", "_s", "_salt")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: list[float],
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, most_distinct: int = 1_000_000) -> DataFrame:
     """Element at 0-based index floor(p*n) of each group's sorted values, exactly.
 
-    A mergeable sketch brackets each target between two values; elements below
-    the bracket are counted and only the bracket (about 8n/accuracy elements,
-    equal values collapsed) is ordered.  No group is ever collected.
-    Returns keys, p, quantile.
+    Values are counted first, so a frequent value is one row.  A bracket of
+    more than ``most_distinct`` distinct values is cut into ranges by a
+    mergeable sketch (any cut points give exact results), the ranges are
+    counted, and the one that holds the target is the next bracket.  Only the
+    last bracket is ordered.  Returns keys, p, quantile.
     """
     if not keys:
-        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probabilities, accuracy)
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probabilities, accuracy, most_distinct)
         return whole.drop("_all")
-    vals = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    targets = F.array(*[F.lit(float(p)) for p in probabilities])
-    margin = 4.0 / accuracy
-
-    def sketch(shift):
-        points = [min(1.0, max(0.0, p + shift)) for p in probabilities]
-        return F.percentile_approx("_v", points, accuracy)
-
-    brackets = (vals.groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-                     sketch(-margin).alias("_lo"), sketch(margin).alias("_hi"))
-                .select(*keys, "_n", "_min", "_max",
-                        F.explode(F.arrays_zip(targets.alias("p"), F.col("_lo"), F.col("_hi"))).alias("b"))
-                .select(*keys, F.col("b.p").alias("p"),
-                        F.least(F.floor(F.col("b.p") * F.col("_n")), F.col("_n") - 1).alias("_target"),
-                        F.when(F.col("b.p") <= margin, F.col("_min")).otherwise(F.col("b._lo")).alias("_lo"),
-                        F.when(F.col("b.p") >= 1 - margin, F.col("_max")).otherwise(F.col("b._hi")).alias("_hi")))
-    if keys == ["_all"]:  # then the brackets are exactly len(probabilities) rows
-        brackets = F.broadcast(brackets)
-    joined = vals.join(brackets, keys)
-    inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-    # below the bracket everything folds into one counter per group and p
-    counts = (joined.filter(F.col("_v") <= F.col("_hi"))
-              .groupBy(*keys, "p", "_target", F.when(inside, F.col("_v")).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys, "p").orderBy(F.col("_v").asc_nulls_first())
-    return (counts.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .filter((F.col("_cum") > F.col("_target")) & F.col("_v").isNotNull())
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    wanted = F.array(*[F.lit(float(p)) for p in sorted(set(probabilities))])
+    brackets = stored(counted.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_d"))
+                      .withColumn("p", F.explode(wanted))
+                      .select(*keys, "p", F.least(F.floor(F.col("p") * F.col("_n")), F.col("_n") - 1).alias("_target"), "_lo", "_hi", "_d"), "quantile-brackets")
+    wide = F.col("_d") > most_distinct
+    while not brackets.filter(wide).isEmpty():
+        brackets = stored(brackets.filter(~wide).unionByName(_narrowed(counted, brackets.filter(wide), keys, accuracy)), "quantile-brackets")
+    w = Window.partitionBy(*keys, "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return (_inside(counted, brackets, keys).withColumn("_cum", F.sum("_c").over(w)).filter(F.col("_cum") > F.col("_target"))
             .groupBy(*keys, "p").agg(F.min("_v").alias("quantile")))
 
 
+def _inside(counted: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    return counted.join(brackets, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _narrowed(counted: DataFrame, brackets: DataFrame, keys: list[str], accuracy: int, ranges: int = 64) -> DataFrame:
+    """The range of each bracket that holds its target."""
+    group = [*keys, "p"]
+    inside = _inside(counted, brackets, keys)
+    cuts = inside.groupBy(*group).agg(F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], accuracy).alias("_cuts"))
+    place = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    parts = inside.join(cuts, group).groupBy(*group, "_target", place.alias("_place")).agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_d"))
+    before = Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)  # ``ranges`` rows at most
+    left = F.col("_target") - F.coalesce(F.sum("_n").over(before), F.lit(0))
+    return parts.withColumn("_left", left).filter((F.col("_left") >= 0) & (F.col("_left") < F.col("_n"))).select(
+        *group, F.col("_left").alias("_target"), "_lo", "_hi", "_d")
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, long form, one aggregate pass."""
     pairs = [(a, b) for a in columns for b in columns]

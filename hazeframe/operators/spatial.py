@@ -20,6 +20,7 @@ from hazeframe.functions.traffic import road_proxy
 
 # Pyramid: number of cells around the full circle, finest first; 1 = everything.
 PYRAMID = (65536, 16384, 4096, 1024, 256, 64, 16, 1)
+COARSE = 64  # levels of at most this many cells around: together fewer than 3,000 cells
 
 
 # Cell lists are SQL text: one parse instead of a driver round trip per node.
@@ -88,11 +89,18 @@ def knn(points: DataFrame, refs: DataFrame, k: int, metric: str = "sphere",
     occupied = (refs.select(F.explode(_own_cells(ref_lat, ref_lon)).alias("c"))
                 .groupBy("c.level", "c.cy", "c.cx").agg(F.count(F.lit(1)).alias("n")))
 
-    levels = range(len(PYRAMID))
-    all_blocks = F.expr(f"array({', '.join(_block('_lat', '_lon', i) for i in levels)})")
-    level_hits = (positions.select("_lat", "_lon", F.explode(all_blocks).alias("c"))
-                  .select("_lat", "_lon", "c.*").join(occupied, ["level", "cy", "cx"])
+    # coarse cells hold every position of a region, so they never become a shuffle key; there are few of them
+    coarse = [i for i, n in enumerate(PYRAMID) if n <= COARSE]
+    fine = [i for i, n in enumerate(PYRAMID) if n > COARSE]
+
+    def hits(levels, cells):
+        blocks = F.expr(f"array({', '.join(_block('_lat', '_lon', i) for i in levels)})")
+        return (positions.select("_lat", "_lon", F.explode(blocks).alias("c")).select("_lat", "_lon", "c.*")
+                .join(cells, ["level", "cy", "cx"]).select("_lat", "_lon", "level", "n"))
+    level_hits = (hits(fine, occupied.filter(F.col("level").isin(fine)))
+                  .unionByName(hits(coarse, F.broadcast(occupied.filter(F.col("level").isin(coarse)))))
                   .groupBy("_lat", "_lon", "level").agg(F.sum("n").alias("n")))
+    levels = range(len(PYRAMID))
     last = len(PYRAMID) - 1
     finest = (level_hits.groupBy("_lat", "_lon")
               .agg(F.coalesce(F.min(F.when(F.col("n") >= k, F.col("level"))), F.lit(last)).alias("_fine")))
@@ -168,16 +176,20 @@ def map_stations(stations: DataFrame, wards: DataFrame) -> DataFrame:
 
     ``stations``: station_name, latitude, longitude, norm_province, norm_ward;
     ``wards``: ward_code, province, norm_province, norm_ward, ref_lat, ref_lon.
+    A station with neither name nor position stays, without a ward.
     """
     names = wards.select("norm_province", "norm_ward", "ward_code", "province")
     base = ["station_name", "latitude", "longitude"]
     named = stations.select(*base, "norm_province", "norm_ward").join(names, ["norm_province", "norm_ward"], "left").select(*base, "ward_code", "province")
     hit = F.coalesce(F.col("ward_code"), F.lit("")) != ""
     refs = wards.select("ward_code", F.col("province").alias("ref_province"), "ref_lat", "ref_lon")
-    near = nearest_join(named.filter(~hit).select(*base), refs, ref_key="ward_code")
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    near = nearest_join(named.filter(~hit & located).select(*base), refs, ref_key="ward_code")
+    lost = named.filter(~hit & ~located).select(*base, *[F.lit(None).cast("string").alias(c) for c in ("ward_code", "province")])
     return (named.filter(hit).withColumn("match", F.lit("name"))
             .unionByName(near.select(
-                *base, "ward_code", F.col("ref_province").alias("province")).withColumn("match", F.lit("nearest"))))
+                *base, "ward_code", F.col("ref_province").alias("province")).withColumn("match", F.lit("nearest")))
+            .unionByName(lost.withColumn("match", F.lit("missing_lat_lon"))))
 
 
 def idw_fill(targets: DataFrame, known: DataFrame, k: int = 10, alpha: float = 0.65,
@@ -187,6 +199,7 @@ def idw_fill(targets: DataFrame, known: DataFrame, k: int = 10, alpha: float = 0
     ``targets``: key, latitude, longitude, nearest_highway_type,
     distance_to_road_km; ``known``: key, latitude, longitude, current_speed,
     free_flow_speed.  Blends ``alpha`` interpolation with the road proxy.
+    Targets without coordinates stay, without values.
     """
     refs = known.select(
         F.col(key).alias("ref_key"), F.col("latitude").alias("ref_lat"), F.col("longitude").alias("ref_lon"),
@@ -202,7 +215,8 @@ def idw_fill(targets: DataFrame, known: DataFrame, k: int = 10, alpha: float = 0
     proxy = road_proxy("nearest_highway_type", "distance_to_road_km")
     ratio = F.least(F.lit(1.0), F.greatest(
         F.lit(0.0), F.col("interp_ratio") * alpha + proxy * (1 - alpha)))
-    return (missing.join(filled, ["latitude", "longitude"]).withColumn("congestion_ratio", ratio)
+    return (missing.join(filled, ["latitude", "longitude"], "left")
+            .withColumn("congestion_ratio", F.when(F.col("interp_ratio").isNotNull(), ratio))
             .withColumn("current_speed", F.col("free_flow_speed") * (1 - F.col("congestion_ratio"))))
 
 

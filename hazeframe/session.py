@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -45,3 +45,10 @@ def shared_base(spark: SparkSession) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for one purpose below the shared one."""
     return f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` into a new shared folder and read it back: its size is known then and its lineage cut."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

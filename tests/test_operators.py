@@ -80,6 +80,39 @@ def test_exact_quantile_beyond_sketch_size(spark):
     assert got == {0.25: 12500.0, 0.9: 45000.0}
 
 
+def test_exact_quantile_narrows_until_bounded(spark):
+    rows = spark.range(20000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise("cold").alias("g"),
+                                     F.when(F.col("id") < 10000, 5.0).otherwise(((F.col("id") * 7919) % 20000).cast("double")).alias("v"))
+    got = {(x.g, x.p): x.quantile for x in ranking.exact_quantiles(rows, ["g"], "v", [0.0, 0.3, 0.77, 1.0], most_distinct=20).collect()}
+    by = {}
+    for r in rows.collect():
+        by.setdefault(r.g, []).append(r.v)
+    assert got == {(g, p): sorted(vs)[min(int(p * len(vs)), len(vs) - 1)] for g, vs in by.items() for p in (0.0, 0.3, 0.77, 1.0)}
+
+
+def test_places_without_coordinates_stay(spark):
+    stations = spark.createDataFrame([("a", 1.0, 1.0, "p", "zz"), ("b", None, 2.0, "p", "zz"), ("c", None, None, "p", "w")],
+                                     "station_name string, latitude double, longitude double, norm_province string, norm_ward string")
+    wards = spark.createDataFrame([("1", "P", "p", "w", 1.1, 1.0)], "ward_code string, province string, norm_province string, norm_ward string, ref_lat double, ref_lon double")
+    got = {r.station_name: (r.ward_code, r.match) for r in spatial.map_stations(stations, wards).collect()}
+    assert got == {"a": ("1", "nearest"), "b": (None, "missing_lat_lon"), "c": ("1", "name")}
+    targets = spark.createDataFrame([("2", 1.0, 1.0, "trunk", 0.1), ("3", None, 1.0, "trunk", 0.1)], "ward_code string, latitude double, longitude double, nearest_highway_type string, distance_to_road_km double")
+    known = spark.createDataFrame([("1", 1.1, 1.0, 30.0, 60.0)], "ward_code string, latitude double, longitude double, current_speed double, free_flow_speed double")
+    filled = {r.ward_code: r.congestion_ratio for r in spatial.idw_fill(targets, known).collect()}
+    assert filled["2"] > 0 and filled["3"] is None
+
+
+def test_nearest_with_dense_city_outlier_and_equal_points(spark):
+    r = random.Random(8)
+    refs = [(i, 21.0 + r.random() / 50, 105.8 + r.random() / 50) for i in range(300)] + [(900, -40.0, -70.0)]
+    where = [(21.01, 105.81)] * 3000 + [(-39.0, -71.0), (60.0, 10.0), (20.0, 104.0)]
+    points = spark.createDataFrame([(i, *w) for i, w in enumerate(where)], "id int, latitude double, longitude double")
+    known = spark.createDataFrame(refs, "ref_key int, ref_lat double, ref_lon double")
+    got = {x.id: x.ref_key for x in spatial.nearest_join(points, known, "planar").collect()}
+    best = {w: min(refs, key=lambda q: ((q[1] - w[0]) ** 2 + (q[2] - w[1]) ** 2, q[0]))[0] for w in set(where)}
+    assert got == {i: best[w] for i, w in enumerate(where)}
+
+
 def test_large_rank_equals_window_rank(spark):
     r = random.Random(5)
     values = [float(r.randrange(50)) for _ in range(300)] + [9.0] * 150 + [None] * 3
