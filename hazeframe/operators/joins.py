@@ -137,15 +137,18 @@ def side_by_side(a: DataFrame, b: DataFrame, keys: list[str], suffixes=("_ground
 
 def unify_env(aqi: DataFrame, dim: DataFrame, weather: DataFrame, traffic: DataFrame, pop: DataFrame) -> DataFrame:
     """Ward-hour air quality with weather (ward, else province), traffic and exposure."""
+    names = {"date": "date", "region_3": "region_3", "region_8": "region_8", "avg_aqi_us": "aqi_us", "avg_aqi_vn": "aqi_vn", "pm25_avg": "pm25",
+             "pm10_avg": "pm10", "co_avg": "co", "main_pollutant": "main_pollutant", "source_mix": "source_mix",
+             "confidence_score": "confidence_score", "confidence_level": "confidence_level"}
+    # a ward-hour has one row per mix, two at most: the newer one, filled up from the other, is each column's newest value
+    row = F.when(F.col("last_ingested_at").isNotNull(), F.struct(
+        F.col("last_ingested_at").alias("_v"), F.col("source_mix").alias("_m"), *[F.col(src).alias(dst) for src, dst in names.items()]))
     base = aqi.groupBy("datetime_hour", "province", "ward_code").agg(
-        *[arg_max(src, "last_ingested_at", "source_mix").alias(dst) for src, dst in (
-            ("date", "date"), ("region_3", "region_3"), ("region_8", "region_8"), ("avg_aqi_us", "aqi_us"),
-            ("avg_aqi_vn", "aqi_vn"), ("pm25_avg", "pm25"), ("pm10_avg", "pm10"), ("co_avg", "co"),
-            ("main_pollutant", "main_pollutant"), ("source_mix", "source_mix"),
-            ("confidence_score", "confidence_score"), ("confidence_level", "confidence_level"))],
+        F.max(row).alias("_new"), F.min(row).alias("_old"),
         F.sum("aqiin_observation_count").alias("aqiin_observation_count"),
         F.sum("openweather_observation_count").alias("openweather_observation_count"),
         F.max(F.struct("raw_loaded_at", "raw_sync_run_id", "raw_sync_started_at")).alias("_a"))
+    base = base.withColumns({c: F.coalesce(f"_new.{c}", f"_old.{c}") for c in names.values()}).drop("_new", "_old")
     w = weather.select(
         "province", "ward_code", "datetime_hour",
         *[F.coalesce(c, f"province_{c}").cast("double").alias(c)

@@ -12,13 +12,27 @@ from hazeframe.functions.aqi import main_pollutant
 
 CONC = [f"{p}_avg" for p in fv.POLLUTANTS]
 SUB = [f"{p}_aqi" for p in fv.POLLUTANTS]
-AREA = ["province", "ward_code", "region_3", "region_8"]
+#: Score and level of each source mix.
+CONFIDENCE = {"observed": (1.0, "high"), "modeled": (0.5, "medium")}
 
 
 def _main() -> Column:
     return main_pollutant({p: f"{p}_aqi" for p in fv.POLLUTANTS})
 
 
+def _regions() -> dict[str, Column]:
+    return {"region_3": naming.region_3("province"), "region_8": naming.region_8("province")}
+
+
+def _described(df: DataFrame) -> DataFrame:
+    """What province and mix determine, added after grouping so that the keys stay narrow."""
+    score, level = F.lit(None).cast("double"), F.lit(None).cast("string")
+    for mix, (s, name) in CONFIDENCE.items():
+        hit = F.col("source_mix") == mix
+        score, level = F.when(hit, s).otherwise(score), F.when(hit, name).otherwise(level)
+    return df.withColumns({**_regions(), "confidence_score": score, "confidence_level": level})
+
+
 def _with_lineage(df: DataFrame) -> DataFrame:
     return df.select("*", "_lineage.*").drop("_lineage")
 
@@ -38,9 +52,7 @@ def to_hourly(df: DataFrame) -> DataFrame:
               .agg(*aggs, F.count(F.lit(1)).alias("observation_count"),
                    F.max("ingest_time").alias("last_ingested_at"), newest_lineage().alias("_lineage")))
     return (_with_lineage(hourly)
-            .withColumns({"date": F.to_date("datetime_hour"),
-                          "region_3": naming.region_3("province"), "region_8": naming.region_8("province"),
-                          "main_pollutant": _main()}))
+            .withColumns({"date": F.to_date("datetime_hour"), **_regions(), "main_pollutant": _main()}))
 
 
 def pivot_mean(df: DataFrame, keys: list, name: str, value: str, names: list[str]) -> DataFrame:
@@ -52,17 +64,15 @@ def pivot_mean(df: DataFrame, keys: list, name: str, value: str, names: list[str
 
 def ward_hourly(observed: DataFrame, modelled: DataFrame) -> DataFrame:
     """Station and model hours side by side, tagged with mix and confidence."""
-    def tagged(df, mix, score, level):
+    def tagged(df, mix):
+        score, level = CONFIDENCE[mix]
         n, zero = F.col("observation_count"), F.lit(0).cast("bigint")
         return df.withColumns({
             "aqiin_observation_count": n if mix == "observed" else zero,
             "openweather_observation_count": zero if mix == "observed" else n,
             "source_mix": F.lit(mix), "confidence_score": F.lit(score), "confidence_level": F.lit(level),
         }).drop("observation_count")
-    return tagged(observed, "observed", 1.0, "high").unionByName(tagged(modelled, "modeled", 0.5, "medium"))
-
-
-_SCORES = ["confidence_score", "confidence_level"]  # functions of source_mix
+    return tagged(observed, "observed").unionByName(tagged(modelled, "modeled"))
 
 
 def _measures(max_us: str, max_vn: str, min_us: str, min_vn: str) -> list[Column]:
@@ -79,18 +89,18 @@ _COUNTS = ["aqiin_observation_count", "openweather_observation_count"]
 
 def rollup_daily(hourly: DataFrame) -> DataFrame:
     """Ward hours -> ward days."""
-    daily = hourly.groupBy("date", *AREA, "source_mix", *_SCORES).agg(
+    daily = hourly.groupBy("date", "province", "ward_code", "source_mix").agg(
         *_measures("avg_aqi_us", "avg_aqi_vn", "avg_aqi_us", "avg_aqi_vn"),
         *[F.sum(c).alias(c) for c in _COUNTS])
-    return _with_lineage(daily).withColumn("main_pollutant", _main())
+    return _described(_with_lineage(daily)).withColumn("main_pollutant", _main())
 
 
 def rollup_monthly(daily: DataFrame) -> DataFrame:
     """Ward days -> ward months, with the number of days."""
-    monthly = daily.groupBy(times.month_of("date").alias("month"), *AREA, "source_mix", *_SCORES).agg(
+    monthly = daily.groupBy(times.month_of("date").alias("month"), "province", "ward_code", "source_mix").agg(
         *_measures("max_aqi_us", "max_aqi_vn", "min_aqi_us", "min_aqi_vn"),
         *[F.sum(c).alias(c) for c in _COUNTS], F.count(F.lit(1)).alias("samples_count"))
-    return _with_lineage(monthly).withColumn("main_pollutant", _main())
+    return _described(_with_lineage(monthly)).withColumn("main_pollutant", _main())
 
 
 GRAIN_KEYS = {"hour": ["datetime_hour", "date"], "day": ["date"], "month": ["month"]}
@@ -105,7 +115,7 @@ def rollup_province(df: DataFrame, grain: str) -> DataFrame:
     measures = _measures("max_aqi_us", "max_aqi_vn", "min_aqi_us", "min_aqi_vn")
     if grain == "hour":
         measures = [F.avg("avg_aqi_us").alias("avg_aqi_us"), F.avg("avg_aqi_vn").alias("avg_aqi_vn")] + measures[6:]
-    out = df.groupBy(*GRAIN_KEYS[grain], "province", "region_3", "region_8", "source_mix", *_SCORES).agg(
+    out = df.groupBy(*GRAIN_KEYS[grain], "province", "source_mix").agg(
         *measures, F.count("ward_code").alias("total_ward_count"),
         F.sum(F.col(_COUNTS[0]) + F.col(_COUNTS[1])).alias("_obs"))
     zero = F.lit(0).cast("bigint")
@@ -114,7 +124,7 @@ def rollup_province(df: DataFrame, grain: str) -> DataFrame:
         hit = F.col("source_mix") == mix
         cols[f"{source}_ward_count"] = F.when(hit, F.col("total_ward_count")).otherwise(zero)
         cols[f"{source}_observation_count"] = F.when(hit, F.col("_obs")).otherwise(zero)
-    return _with_lineage(out).withColumns(cols).drop("_obs")
+    return _described(_with_lineage(out)).withColumns(cols).drop("_obs")
 
 
 def national_summary(province_hourly: DataFrame, province_daily: DataFrame) -> DataFrame:
