@@ -311,6 +311,47 @@ def _(spark, d):
     return versions.read_table(spark, f"{folder}/out").drop("day")
 
 
+_ARRIVED = datetime(2024, 1, 20, 12)
+_LATE = "right(raw_sync_run_id, 1) = '0'"
+_FIRST = f"(NOT {_LATE} AND timestamp_utc < TIMESTAMP '2024-01-20 12:00:00')"
+
+
+def _in_two_runs(spark, d, transform, copies):
+    """Rows of ``transform(stream)`` over two runs from one checkpoint.
+
+    The first run sees what happened before one moment, the second one the rest
+    and a tenth of the earlier rows, which come late; copies of rows come in both.
+    """
+    folder = shared_folder(spark, "late")
+    rows = R.raw_station(spark, d, "aqiin").select(F.col("station_name").alias("station_id"), "timestamp_utc", F.lit("aqiin").alias("source"), "parameter", "value", "raw_sync_run_id")
+    last = F.substring("raw_sync_run_id", -1, 1)
+    first = (last != "0") & (F.col("timestamp_utc") < F.lit(_ARRIVED))
+    for chosen, again in ((first, first & (last == "3")), (~first, first & (last == "5"))):
+        part = rows.filter(chosen)
+        (part.unionByName(rows.filter(again)) if copies else part).write.mode("append").parquet(f"{folder}/in")
+        stream = transform(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+        (stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck")
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query("stream_windowed_hours", "R1", out(f"""(SELECT date_trunc('hour', timestamp_utc) AS datetime_hour, station_name AS station_id, 'aqiin' AS source, parameter AS pollutant, avg(value) AS avg_value, count(*) AS measurement_count, max(value) AS max_value, min(value) AS min_value
+  FROM raw_aqiin CROSS JOIN (SELECT max(timestamp_utc) FILTER ({_FIRST}) - INTERVAL 2 HOUR AS before, max(timestamp_utc) - INTERVAL 2 HOUR AS after FROM raw_aqiin WHERE value IS NOT NULL) m
+  WHERE value IS NOT NULL AND ({_FIRST} OR date_trunc('hour', timestamp_utc) + INTERVAL 1 HOUR > before) AND date_trunc('hour', timestamp_utc) + INTERVAL 1 HOUR <= after GROUP BY ALL)""", _HOUR_COLS))
+def _(spark, d):
+    """Hours that the watermark has passed; rows that come after it are dropped, later ones within it count."""
+    return _in_two_runs(spark, d, hourly.windowed_hours, copies=False)
+
+
+@query("stream_deduplicated", "R3", out(f"""(SELECT station_name AS station_id, timestamp_utc, parameter, value, raw_sync_run_id
+  FROM raw_aqiin CROSS JOIN (SELECT max(timestamp_utc) FILTER ({_FIRST}) - INTERVAL 1 DAY AS before FROM raw_aqiin) m
+  WHERE {_FIRST} OR timestamp_utc > before)""", "station_id timestamp_utc parameter ~value raw_sync_run_id"))
+def _(spark, d):
+    """Copies within a run and across runs vanish; rows later than the watermark do too."""
+    kept = _in_two_runs(spark, d, lambda s: hourly.dedup_stream(s, ["station_id", "timestamp_utc", "parameter", "raw_sync_run_id"], "timestamp_utc"), copies=True)
+    return kept.drop("source")
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 @query("range_violations", "D1", out("(SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice < 5000 OR o_totalprice > 450000)", "o_orderkey ~o_totalprice"))
