@@ -45,6 +45,29 @@ def not_between(df: DataFrame, column: str, low, high) -> DataFrame:
     return df.filter(~F.col(column).between(low, high))
 
 
+def contract(df: DataFrame, model: str, required: list[str] = (), key: list[str] = (), accepted: dict[str, list] | None = None,
+             between: dict[str, tuple] | None = None) -> DataFrame:
+    """``model, check, violations`` of the rules declared for a model; a null breaks only ``required``.
+
+    The rules on single rows are counted in one pass; the key needs a grouping
+    of its own, whose violations are the surplus rows.
+    """
+    rules = {f"required {c}": F.col(c).isNull() for c in required}
+    rules |= {f"accepted {c}": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
+    rules |= {f"between {c}": ~F.col(c).between(*v) for c, v in (between or {}).items()}
+    found = []
+    if rules:
+        counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+        found.append(counts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"`{name}`").alias("violations")) for name in rules])).alias("c")).select("c.*"))
+    if key:
+        twice = duplicate_keys(df, list(key)).agg(F.coalesce(F.sum(F.col("duplicate_count") - 1), F.lit(0)).alias("violations"))
+        found.append(twice.select(F.lit("unique " + " ".join(key)).alias("check"), "violations"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select(F.lit(model).alias("model"), "check", "violations")
+
+
 def freshness(df: DataFrame, ts: str, as_of, warn_hours: int = 6, error_hours: int = 12, by: list[str] = ()) -> DataFrame:
     """Latest timestamp against ``as_of``: pass / warn / error."""
     out = df.groupBy(*by).agg(F.max(ts).alias("latest"))

@@ -455,6 +455,12 @@ def averages_since(daily: DataFrame, as_of, days: int, keys: list[str], **column
         *[F.avg(c).alias(name) for name, c in columns.items()])
 
 
+def most_polluted(daily: DataFrame, as_of, days: int, key: str, column: str = "pm25_avg", n: int = 1) -> DataFrame:
+    """The ``n`` values of ``key`` (a region, a province) with the highest mean over the last days."""
+    return (averages_since(daily.filter(present(key)), as_of, days, [key], average=column)
+            .orderBy(F.desc_nulls_last("average"), key).limit(n))
+
+
 def breach_days_since(compliance: DataFrame, as_of, days: int) -> DataFrame:
     rows = compliance.filter(_days_back("date", as_of, days) & (F.col("who_pm25_breach") == 1))
     return rows.groupBy("province").agg(F.count(F.lit(1)).alias("breach_days"))

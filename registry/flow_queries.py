@@ -393,3 +393,30 @@ def _(spark, d):
     return c.filter(present("tag")).select("c_custkey", "tag")
 
 
+
+
+_GRAINS = {"ward_hour": ("ward_hourly", ["datetime_hour", "province", "ward_code", "source_mix"]), "ward_day": ("ward_daily", ["date", "province", "ward_code", "source_mix"]),
+           "ward_month": ("ward_monthly", ["month", "province", "ward_code", "source_mix"]), "province_hour": ("province_hourly", ["datetime_hour", "province", "source_mix"]),
+           "province_day": ("province_daily", ["date", "province", "source_mix"]), "province_month": ("province_monthly", ["month", "province", "source_mix"])}
+_MIXES, _PARTS = ["observed", "modeled"], [*fv.POLLUTANTS]
+
+
+def _contract_sql():
+    for model, (cte, key) in _GRAINS.items():
+        for c in [*key, "main_pollutant"]:
+            yield f"SELECT '{model}' AS model, 'required {c}' AS \"check\", count_if({c} IS NULL) AS violations FROM {cte}"
+        yield f"SELECT '{model}', 'accepted source_mix', count_if(source_mix NOT IN ('observed', 'modeled')) FROM {cte}"
+        yield f"SELECT '{model}', 'accepted main_pollutant', count_if(main_pollutant NOT IN ({', '.join(repr(p) for p in _PARTS)})) FROM {cte}"
+        yield f"SELECT '{model}', 'between confidence_score', count_if(NOT confidence_score BETWEEN 0 AND 1) FROM {cte}"
+        yield f"SELECT '{model}', 'between avg_aqi_us', count_if(NOT avg_aqi_us BETWEEN 0 AND 500) FROM {cte}"
+        yield f"SELECT '{model}', 'unique {' '.join(key)}', count(*) - count(DISTINCT ({', '.join(key)})) FROM {cte}"
+
+
+@query("model_contracts", "D1 D2 D4", with_ctes(f"SELECT model, \"check\", CAST(violations AS BIGINT) AS violations FROM ({' UNION ALL '.join(_contract_sql())})"))
+def _(spark, d):
+    """The rules declared for the fact models, over the models themselves."""
+    m = R.models(spark, d)
+    models = {f"{area}_{grain}": (m.ward if area == "ward" else m.province)(grain) for area in ("ward", "province") for grain in ("hour", "day", "month")}
+    checks = [quality.contract(models[name], name, [*key, "main_pollutant"], key, {"source_mix": _MIXES, "main_pollutant": _PARTS},
+                               {"confidence_score": (0, 1), "avg_aqi_us": (0, 500)}) for name, (_, key) in _GRAINS.items()]
+    return reduce(DataFrame.unionByName, checks)

@@ -418,6 +418,16 @@ def _(spark, d):
     return reports.averages_since(weather_days(spark, d), R.AS_OF_DATE, 30, ["province"], avg_humidity="humidity_daily_avg", avg_wind="wind_daily_avg", avg_pm25="pm25_daily_avg")
 
 
+@query("region_averages", "Q20", out(f"(SELECT region_3, avg(avg_aqi_vn) AS avg_aqi, avg(pm25_avg) AS avg_pm25 FROM province_daily WHERE date >= {AS_OF_DATE} - 7 GROUP BY region_3)", "region_3 ~avg_aqi ~avg_pm25"))
+def _(spark, d):
+    return reports.averages_since(M(spark, d).province("day"), R.AS_OF_DATE, 7, ["region_3"], avg_aqi="avg_aqi_vn", avg_pm25="pm25_avg")
+
+
+@query("most_polluted_region", "Q20 T1", out(f"(SELECT region_3, avg(pm25_avg) AS average FROM province_daily WHERE date >= {AS_OF_DATE} - 7 AND region_3 <> '' GROUP BY region_3 ORDER BY average DESC NULLS LAST, region_3 LIMIT 1)", "region_3 ~average"))
+def _(spark, d):
+    return reports.most_polluted(M(spark, d).province("day"), R.AS_OF_DATE, 7, "region_3")
+
+
 @query("breach_days_since", "Q20", with_ctes(f"SELECT province, count(*) AS breach_days FROM compliance WHERE {WEEK} AND who_pm25_breach = 1 GROUP BY province"))
 def _(spark, d):
     return reports.breach_days_since(comp(spark, d), R.AS_OF_DATE, 7)
