@@ -106,15 +106,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns.
 
-    Copies of one document follow each other at its position; rows that repeat
-    an id and a text count as that document once more each.
+    Copies of one document follow each other at its position.  Rows that share
+    id, source and size (repeated rows, rows without an id) share the copies
+    that the mix takes of them evenly, the first by digest of their text taking
+    what is left over, so the words add up to those of ``mix``.
     """
-    chosen = (mix(docs, id_col, text_col, source_col, **how).filter("copies > 0")
-              .groupBy(F.col("doc_id").alias("c_id"), F.col("size").alias("c_size"), F.col("source").alias("c_source"))
-              .agg(F.min("first_position").alias("at"), F.sum("copies").alias("copies"), F.count("*").alias("rows")))
+    key = ["c_id", "c_source", "c_size"]
+    chosen = stored(mix(docs, id_col, text_col, source_col, **how)
+                    .groupBy(F.col("doc_id").alias("c_id"), F.col("source").alias("c_source"), F.col("size").alias("c_size"))
+                    .agg(F.min("first_position").alias("at"), F.sum("copies").alias("copies"), F.count("*").alias("sharing"))
+                    .filter("copies > 0"), "mix-chosen")
+    text = text_or_empty(text_col)
     rows = nested(docs, doc_id=F.col(f"`{id_col}`").cast("long"), source=F.col(f"`{source_col}`").cast("string"),
-                  size=F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long"))
+                  size=F.regexp_count(text, F.lit(WORD)).cast("long"), digest=F.sha2(text, 256))
     match = F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))
-    shared = F.ceil(F.col("copies") / F.col("rows")).cast("int")
-    out = rows.join(chosen, match).withColumn("copy", F.explode(F.sequence(F.lit(1), shared)))
+    columns = ("row", "at", "doc_id", "copies")
+    out = rows.join(chosen.filter("sharing = 1"), match).select(*columns)
+    shared = chosen.filter("sharing > 1")
+    if not shared.isEmpty():
+        turn = F.row_number().over(W.partitionBy(*key).orderBy("digest"))
+        left_over = (turn <= F.col("copies") % F.col("sharing")).cast("long")
+        out = out.unionByName(rows.join(shared, match).withColumn("copies", F.floor(F.col("copies") / F.col("sharing")) + left_over)
+                              .filter("copies > 0").select(*columns))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.repartitionByRange(tasks(docs.sparkSession), "at", "doc_id").sortWithinPartitions("at", "doc_id", "copy").select("row.*")

@@ -67,6 +67,21 @@ def test_mix_on_odd_rows(odd_docs):
     assert sum(len((r.text or "").replace("\u00a0", "x").replace("\u0085", "x").split()) for r in out.collect()) == taken
 
 
+def test_training_order_shares_copies_of_equal_ids(docs_frame):
+    df = docs_frame([(None, f"w{i} x", "a") for i in range(11)] + [(7, f"v{i} y", "a") for i in range(4)] + [(i, "z " * 9, "b") for i in range(20, 24)])
+    taken = defaultdict(int)
+    for r in mixing.mix(df).collect():
+        taken[r.doc_id] += r.copies
+    rows = [(r.doc_id, r.text) for r in mixing.training_order(df.repartition(3)).collect()]
+    got = defaultdict(list)
+    for text in sorted({t for _, t in rows}):
+        got[next(i for i, t in rows if t == text)].append(sum(t == text for _, t in rows))
+    assert sum(n for i, n in taken.items()) == len(rows) and {i for i, n in taken.items() if n} == {i for i, _ in rows}
+    assert all(sum(1 for j, _ in rows if j == i) == n for i, n in taken.items())
+    assert all(max(counts) - min(counts) <= 1 for i, counts in got.items() if i in (None, 7))
+    assert [(r.doc_id, r.text) for r in mixing.training_order(df).collect()] == rows
+
+
 def digest_of(turns):
     turns = sorted(turns, key=lambda t: (t[0] is not None, t[0], t[1] or "", t[2] or ""))
     said = "".join(f"{r or ''}\n{t or ''}\n" for _, r, t in turns)
