@@ -38,14 +38,14 @@ def _(spark, d):
     _csv(e.select(F.concat(F.lit("A"), F.col("sk").cast("string")).alias("station_name"), F.concat(stamp, F.when(k % 2 == 0, "+07:00").otherwise("Z")).alias("timestamp_utc"),
                   F.when(F.col("event_type") != "error", k).cast("string").alias("value"), F.lit("drop me").alias("unknown_column")), f"{root}/aqi_in")
     _csv(e.select(F.col("user_id").alias("ward_code"), stamp.alias("timestamp_utc"), k.alias("current_speed"), F.when(k % 2 == 0, "True").otherwise("f").alias("road_closure")), f"{root}/tomtom/traffic")
-    _csv(e.limit(1).coalesce(1).select("event_id"), f"{root}/other")
+    _csv(e.select("event_id"), f"{root}/other")
     tables, unrouted = landing.load_landing(spark, root, "run-1", RUN)
     none = F.lit(None)
     aq = tables["raw_aqiin_measurements"].select(F.lit("raw_aqiin_measurements").alias("target"), F.col("station_name").alias("name"), F.col("timestamp_utc").alias("at_time"),
                                                  F.col("value").cast("double").alias("reading"), none.cast("int").alias("closed"), F.col("raw_sync_run_id").alias("run"))
     tr = tables["raw_tomtom_traffic"].select(F.lit("raw_tomtom_traffic"), "ward_code", "timestamp_utc", F.col("current_speed").cast("double"), F.col("road_closure").cast("int"), "raw_sync_run_id")
     un = unrouted.select(F.lit("unrouted"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), none.cast("timestamp"), none.cast("double"), none.cast("int"), none.cast("string"))
-    return aq.union(tr).union(un)
+    return aq.union(tr).union(un.distinct())
 
 
 @query("typed_coercion", "S2", out("(SELECT event_id, CASE WHEN k % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS at_time, CASE WHEN k % 3 = 0 THEN 1 WHEN k % 3 = 1 THEN 0 END AS flag, CASE WHEN event_type <> 'error' THEN k END AS n FROM ev)", "event_id at_time flag n"))
