@@ -277,8 +277,8 @@ def _tile_links(measure: Measure):
         for s in range(0, len(ids), step):
             for t in range(s, len(ids), step):
                 a, b = slice(s, min(s + step, len(ids))), slice(t, min(t + step, len(ids)))
-                if side[a][-1] == 1 and side[b][0] == 1 and side[0] == 0:
-                    continue  # both in the second block: its own tile does it
+                if side[a][0] == 1 and side[b][0] == 1:
+                    continue  # both wholly in the second block: its own tile does it
                 total = np.zeros((a.stop - a.start, b.stop - b.start), np.float32)
                 for lo in range(0, width, strip):
                     sides = []

@@ -168,6 +168,22 @@ def test_jaccard_against_brute_force(docs_frame, lengths):
         assert got == brute_jaccard(rows)
 
 
+def test_tiles_of_two_blocks_lose_no_pair(docs_frame):
+    rng = random.Random(12)
+    base, rows = [f"w{k}" for k in range(100)], []
+    for i in range(350):  # variants of one text that are not linked, each with a linked copy
+        one = list(base)
+        for k in rng.sample(range(2, 98), 3):
+            one[k] = f"x{i}_{k}"
+        two = list(one)
+        two[rng.randrange(2, 98)] = f"y{i}"
+        rows += [(i, " ".join(one), "s"), (1000 + i, " ".join(two), "s")]
+    want = brute_jaccard(rows)
+    for block_shingles in (18_000, 30_000, 40_000):  # first blocks of fewer than 256 rows and of more
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs_frame(rows), block_shingles=block_shingles, pivots=2).collect()}
+        assert got == want
+
+
 def test_jaccard_on_odd_rows(odd_docs):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(odd_docs).collect()), key=repr)
     assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 0, 2), (3, 0, 3), (None, 2, None), (4, 1, 4), (5, 1, 5), (6, 0, 6)], key=repr)
