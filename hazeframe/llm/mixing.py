@@ -64,18 +64,15 @@ def _position(share: Column, rank: Column, schedules) -> Column:
     return F.least(out, F.lit(1.0))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, schedules=SCHEDULES, bucket_digits: int = 3) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, source, copies, first_position``, range-sorted by position.
+def _copy_position(copy: Column, schedules) -> Column:
+    """Time of a document's copy number ``copy`` (from 0); a source's passes follow each other along its demand."""
+    share = F.least((copy * F.col("source_size") + F.col("start") + F.col("size") / 2) / F.col("target"), F.lit(1.0))
+    return _position(F.when(F.col("target") > 0, share).otherwise(0.0), F.col("rank"), schedules)
 
-    ``size`` counts the words of the whole text (null: 0).  A source gives
-    ``floor(target / size)`` whole passes and, of its documents in a fixed
-    hashed order, those whose middle lies within the rest of the target, so it
-    misses the target by half a document at most; no document is cut.  Ids
-    order ties, so reruns agree.  Repeated rows are documents of their own.
-    Rows that are not taken have no position.  Null sources form one source;
-    empty texts never add words.  Other input columns are ignored.
-    """
+
+def _mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, bucket_digits: int = 3) -> DataFrame:
+    """The rows of ``mix`` in no order, with their source's ``rank`` and the words ``start`` before them in a pass."""
     doc_id, key = F.col(f"`{id_col}`").cast("long"), F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
     sizes = stored(docs.select(doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
                                F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
@@ -95,38 +92,57 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = (placed.withColumn("whole", whole)
              .withColumn("copies", F.col("whole") + F.when((F.col("size") > 0) & (F.col("start") + F.col("size") / 2 <= rest), 1).otherwise(0))
              .withColumn("taken", F.col("copies") * F.col("size")))
-    share = F.when(F.col("target") > 0, F.least((F.col("start") + F.col("size") / 2) / F.col("target"), F.lit(1.0))).otherwise(0.0)
-    out = taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "start", "rank",
-                       F.when(F.col("copies") > 0, _position(share, F.col("rank"), schedules)).alias("first_position"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "start", "rank")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, schedules=SCHEDULES, bucket_digits: int = 3) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, source, copies, first_position``, range-sorted by position.
+
+    ``size`` counts the words of the whole text (null: 0).  A source gives
+    ``floor(target / size)`` whole passes and, of its documents in a fixed
+    hashed order, those whose middle lies within the rest of the target, so it
+    misses the target by half a document at most; no document is cut.  Ids
+    order ties, so reruns agree.  Repeated rows are documents of their own.
+    Rows that are not taken have no position.  Null sources form one source;
+    empty texts never add words.  Other input columns are ignored.
+    """
+    first = F.when(F.col("copies") > 0, _copy_position(F.lit(0), schedules))
+    out = _mixed(docs, id_col, text_col, source_col, weights, cap, bucket_digits).withColumn("first_position", first)
     spread = F.coalesce(F.col("first_position"), 1 + F.col("start") / F.greatest(F.col("source_size"), F.lit(1)))
     return (out.repartitionByRange(tasks(docs.sparkSession), spread, F.col("doc_id")).sortWithinPartitions(spread, "doc_id")
             .drop("start", "rank"))
 
 
-def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", schedules=SCHEDULES, **how) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns.
 
-    Copies of one document follow each other at its position.  Rows that share
-    id, source and size (repeated rows, rows without an id) share the copies
-    that the mix takes of them evenly, the first by digest of their text taking
-    what is left over, so the words add up to those of ``mix``.
+    Each copy of a document has its own position: the second pass over a source
+    comes after its first.  Rows that share id, source and size (repeated rows,
+    rows without an id) share the copies that the mix takes of them evenly and
+    in turn, the first by digest of their text taking what is left over, so the
+    words add up to those of ``mix``.
     """
-    key = ["c_id", "c_source", "c_size"]
-    chosen = stored(mix(docs, id_col, text_col, source_col, **how)
-                    .groupBy(F.col("doc_id").alias("c_id"), F.col("source").alias("c_source"), F.col("size").alias("c_size"))
-                    .agg(F.min("first_position").alias("at"), F.sum("copies").alias("copies"), F.count("*").alias("sharing"))
+    key, placing = ["c_id", "c_source", "c_size"], ["source_size", "target", "start", "rank", "copies"]
+    taken = stored(_mixed(docs, id_col, text_col, source_col, **how), "mix-taken")
+    chosen = stored(taken.groupBy(F.col("doc_id").alias("c_id"), F.col("source").alias("c_source"), F.col("size").alias("c_size"))
+                    .agg(*[F.min(c).alias(c) for c in placing[:-1]], F.sum("copies").alias("copies"), F.count("*").alias("sharing"))
                     .filter("copies > 0"), "mix-chosen")
     text = text_or_empty(text_col)
     rows = nested(docs, doc_id=F.col(f"`{id_col}`").cast("long"), source=F.col(f"`{source_col}`").cast("string"),
                   size=F.regexp_count(text, F.lit(WORD)).cast("long"), digest=F.sha2(text, 256))
-    match = F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size"))
-    columns = ("row", "at", "doc_id", "copies")
-    out = rows.join(chosen.filter("sharing = 1"), match).select(*columns)
-    shared = chosen.filter("sharing > 1")
+
+    def match(side: str) -> Column:
+        return F.col("doc_id").eqNullSafe(F.col(f"{side}_id")) & F.col("source").eqNullSafe(F.col(f"{side}_source")) & (F.col("size") == F.col(f"{side}_size"))
+    each = F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("copy")
+    columns = ("row", _copy_position(F.col("copy"), schedules).alias("at"), "doc_id", "copy")
+    out = rows.join(chosen.filter("sharing = 1"), match("c")).select("row", "doc_id", "size", *placing, each).select(*columns)
+    shared = chosen.filter("sharing > 1").select(*key, "sharing")
     if not shared.isEmpty():
-        turn = F.row_number().over(W.partitionBy(*key).orderBy("digest"))
-        left_over = (turn <= F.col("copies") % F.col("sharing")).cast("long")
-        out = out.unionByName(rows.join(shared, match).withColumn("copies", F.floor(F.col("copies") / F.col("sharing")) + left_over)
-                              .filter("copies > 0").select(*columns))
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        places = taken.filter("copies > 0").join(shared, match("c")).select(*key, "sharing", *placing, each)
+        number = F.row_number().over(W.partitionBy(*key).orderBy("copy", "start")) - 1
+        places = places.withColumn("p_turn", number % F.col("sharing")).drop("sharing").withColumnsRenamed({c: f"p{c[1:]}" for c in key})
+        turn = F.row_number().over(W.partitionBy(*key).orderBy("digest")) - 1
+        sharers = rows.join(shared, match("c")).withColumn("turn", turn)
+        out = out.unionByName(sharers.join(places, match("p") & (F.col("turn") == F.col("p_turn"))).select(*columns))
     return out.repartitionByRange(tasks(docs.sparkSession), "at", "doc_id").sortWithinPartitions("at", "doc_id", "copy").select("row.*")

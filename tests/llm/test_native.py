@@ -82,6 +82,18 @@ def test_training_order_shares_copies_of_equal_ids(docs_frame):
     assert [(r.doc_id, r.text) for r in mixing.training_order(df).collect()] == rows
 
 
+def test_copies_follow_the_schedule_to_its_end(docs_frame):
+    df = docs_frame([(i, f"a{i} w", "a" if i < 200 else "b") for i in range(1200)])
+    order = [r.source for r in mixing.training_order(df, weights=(1, 1)).collect()]  # a is taken three times, its weight rises; b is level
+    n, m = order.count("a"), order.count("b")
+    assert n == 600 and m == 600
+    for t in (0.2, 0.5, 0.8, 0.95):
+        at = [k for k, s in enumerate(order) if s == "b"][int(t * m)]
+        assert abs(order[:at].count("a") / n - (t + t * t) / 2) < 0.02
+    taken = mixing.mix(df, weights=(1, 1)).filter("first_position is not null and source = 'a'").collect()
+    assert all(r.copies == 3 for r in taken) and len(taken) == 200
+
+
 def digest_of(turns):
     turns = sorted(turns, key=lambda t: (t[0] is not None, t[0], t[1] or "", t[2] or ""))
     said = "".join(f"{r or ''}\n{t or ''}\n" for _, r, t in turns)
