@@ -302,3 +302,24 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     total, taken = sum(size.values()), {s: sum(n * words[i] for i, n in got.items() if source[i] == s) for s in "ab"}
     target_a = max(min(3 * size["a"], total / 3), total - 3 * size["b"])
     assert abs(taken["a"] - target_a) <= max(words.values()) and abs(taken["b"] - (total - target_a)) <= max(words.values())
+
+
+def test_pipeline_drops_copies_of_five_words_and_four_fifths(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(6)
+    docs, labels = [], [(i, 0, 0) for i in range(40)]
+    for i in range(20):
+        one = [f"d{i}w{k}" for k in range(200)]
+        two = list(one)
+        for k in (20, 60, 100, 140, 180)[:3 + i % 3]:
+            two[k + rng.randrange(8)] = f"e{i}x{k}"
+        docs += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(two))]
+    clean = dict(docs)
+    spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    shingles = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in clean.items()}
+    alike = [len(shingles[2 * i] & shingles[2 * i + 1]) / len(shingles[2 * i] | shingles[2 * i + 1]) for i in range(20)]
+    assert sum(0.80 <= x <= 0.86 for x in alike) >= 13 and any(x < 0.80 for x in alike)
+    want = {i for i in clean if i % 2 == 0 or alike[i // 2] < 0.8}
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == want
