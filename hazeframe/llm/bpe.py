@@ -235,15 +235,17 @@ def encode_documents(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_i
         encoder = Encoder(_vocabulary(content.value))
         names = list(map(str, range(encoder.v.size)))
         for batch in batches:
-            done = []
+            at = 0
             for texts in _chunks(batch["text"]):
+                done = []
                 for ids in encoder.encode(texts):
                     decoded = encoder.decode(ids)
                     row = (len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
                            hashlib.sha256(decoded.encode()).hexdigest())
-                    done.append(row + (ids,) if with_ids else row)
-            out = pd.DataFrame(done, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                    done.append(row + (np.array(ids, np.int32),) if with_ids else row)
+                out = pd.DataFrame(done, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+                out.insert(0, "doc_id", batch["doc_id"].to_numpy()[at:at + len(texts)])
+                at += len(texts)
+                yield out
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInPandas(run, schema)

@@ -323,3 +323,6 @@ def test_pipeline_drops_copies_of_five_words_and_four_fifths(spark, tmp_path):
     want = {i for i in clean if i % 2 == 0 or alike[i // 2] < 0.8}
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in rows} == want
+    with open(queries.tokenizer_file(), encoding="utf-8") as f:
+        encoder = bpe.Encoder(bpe.Vocabulary(f.read()))
+    assert all(len(r.ids) == r.n_tokens and encoder.decode(r.ids) == clean[r.doc_id] for r in rows)
