@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, toxicity, url_cascade, warc
+from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, prefix_trie, toxicity, url_cascade, warc
 from hazeframe.llm.tables import table
 
 QUERIES, SQL = {}, {}
 
+#: CRC-32 in SQL: the table of 256 steps by its rule, and the digest of a UTF-8 blob in hex ({0}).
+CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"
+CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all({0}, '..'), lambda x: cast('0x' || x as bigint))), "
+       "lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295)")
+
 
 def registered(name: str, sql: str | None = None):
     def wrap(fn):
@@ -131,3 +136,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op10_ngram_jaccard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).drop("class_id")
+
+
+@registered("op11_conversation_trie", r"""
+with crc as (select """ + CRC_TABLE + r""" as steps),
+t as (
+  select conv_id, r, x, sha256(length(r) || ':' || r || ':' || x) as s, turn
+  from (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null)),
+p as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, s) as place, [r, x] as step,
+         len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) as words
+  from t),
+c as (
+  select conv_id, conv_id - conv_id % 20 as base, """ + CRC.format("hex(encode(cast(conv_id as varchar)))") + r""" % 4 as h
+  from (select distinct conv_id from p), crc),
+rebuilt as (
+  select c.conv_id, 0 as side, place, step, words from c join p on p.conv_id = c.base and place <= h
+  union all
+  select c.conv_id, 1, place, step, words from c join p on p.conv_id = c.conv_id and place > h),
+placed as (
+  select conv_id, step, words, row_number() over (partition by conv_id order by side, place) as d from rebuilt),
+paths as (
+  select conv_id, d, words, list(step) over (partition by conv_id order by d) as path from placed
+  union all
+  select conv_id, 0, 0, [] from c),
+node as (
+  select path, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words from paths group by path, d),
+kids as (
+  select path[:d - 1] as path, count(*) as n_children from node where d > 0 group by all),
+own as (
+  select n.*, coalesce(k.n_children, 0) as n_children from node n left join kids k on n.path = k.path),
+up as (
+  select path[:k] as path, sum((n_convs - 1) * words) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from (select *, unnest(range(0, d + 1)) as k from own) group by path[:k]),
+last as (
+  select conv_id, max(d) as d from paths group by conv_id),
+ends as (
+  select path, sha256(string_agg(cast(l.conv_id as varchar), ',' order by l.conv_id)) as ends_sha256
+  from last l join paths p on p.conv_id = l.conv_id and p.d = l.d group by path)
+select o.conv_id, o.d as depth, f.conv_id as parent_conv_id, o.n_convs, cast(o.n_children as bigint) as n_children, cast(n_leaves as bigint) as n_leaves,
+       cast(saved_tokens as bigint) as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
+from own o join up on up.path = o.path left join node f on o.d > 0 and f.path = o.path[:o.d - 1] left join ends e on e.path = o.path
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
