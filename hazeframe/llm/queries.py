@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, prefix_trie, toxicity, url_cascade, warc
+from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, prefix_trie, spelling, toxicity, url_cascade, warc
 from hazeframe.llm.tables import table
 
 QUERIES, SQL = {}, {}
@@ -180,3 +180,38 @@ from own o join up on up.path = o.path left join node f on o.d > 0 and f.path =
 """)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@registered("op12_spelling_variants", r"""
+with recursive crc as (select """ + CRC_TABLE + r""" as steps),
+runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents),
+hashed as (
+  select run, """ + CRC.format("hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run))") + r""" as h from runs, crc),
+words as (
+  select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, count(*) as n
+  from hashed group by 1 having length(word) >= 7 and count(*) >= 2),
+cut as (
+  select word, unnest(range(length(word))) as k, substr(word, 1, k) || substr(word, k + 2) as rest from words),
+near as (
+  select a.word as a, b.word as b from cut a join cut b on a.k = b.k and a.rest = b.rest and a.word <> b.word
+  union
+  select c.word, w.word from cut c join words w on c.rest = w.word
+  union
+  select w.word, c.word from cut c join words w on c.rest = w.word),
+best as (
+  select a as word, count(*) as n_near, arg_min(b, struct_pack(x := -w.n, y := b)) as b, max(w.n) as b_n from near join words w on w.word = near.b group by a),
+forms as (
+  select w.word, case when b_n >= 10 * n then b end as form, n, coalesce(n_near, 0) as n_near, case when b_n >= 10 * n then b_n end as form_n
+  from words w left join best on w.word = best.word),
+chain as (
+  select word, word as root from forms
+  union all
+  select chain.word, forms.form from chain join forms on chain.root = forms.word where forms.form is not null),
+roots as (
+  select chain.word, root from chain join forms on chain.root = forms.word where forms.form is null)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from forms f join roots r on f.word = r.word
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
