@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, prefix_trie, spelling, toxicity, url_cascade, warc
+from hazeframe.llm import bpe, chat, exact_dedup, html_blocks, mixing, near_embeddings, ngram_join, personal_data, prefix_trie, spelling, toxicity, url_cascade, warc
 from hazeframe.llm.tables import table
 
 QUERIES, SQL = {}, {}
@@ -215,3 +215,8 @@ select f.word, f.form, r.root, f.n, f.n_near, f.form_n from forms f join roots r
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@registered("op13_personal_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
