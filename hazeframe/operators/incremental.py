@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
 from hazeframe.operators.dedup import keep_last
-from hazeframe.sources import versions
+from hazeframe.sources.tables import BUCKETS, StoredTable, partition_values
 
 
 def high_water_mark(control: DataFrame, source: str) -> datetime:
@@ -84,29 +84,29 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def materialize(df: DataFrame, name: str, mode: str, path: str | None = None, keys: list[str] = (),
-                partition: str | None = None) -> DataFrame:
+                partition: str | None = None, cluster: tuple[str, ...] = (), buckets: int = BUCKETS) -> DataFrame:
     """Store a model: ``view``, ``table``, ``append`` or ``delete_insert``.
 
-    ``delete_insert`` rewrites the partitions that receive rows (or the whole
-    table) into new folders and then switches to them, see
-    ``hazeframe.sources.versions``; the key must determine the partition.
-    Columns that the old or the new rows lack are null there.
+    ``delete_insert`` overwrites the partitions that receive rows (or the whole
+    table), see ``hazeframe.sources.tables``; the key must determine the
+    partition.  Columns that the old or the new rows lack are null there.
+    ``cluster`` buckets and sorts the rows of a table.
     """
-    spark = df.sparkSession
     if mode == "view":
         df.createOrReplaceTempView(name)
         return df
+    table = StoredTable(df.sparkSession, path, partition, cluster, buckets)
     if mode == "delete_insert":
-        touched = versions.slots_of(df, partition)
-        old = versions.read_table(spark, path, touched)
-        versions.replace_partitions(df if old is None else upsert(old, df, list(keys)), path, partition, touched)
+        touched = partition_values(df, partition)
+        old = table.rows(touched)
+        table.replace_partitions(df if old is None else upsert(old, df, list(keys)), touched)
     elif mode == "table":
-        versions.replace_table(df, path, partition)
+        table.replace_all(df)
     elif mode == "append":
-        versions.append_rows(df, path, partition)
+        table.append(df)
     else:
         raise ValueError(f"unknown mode {mode}")
-    return versions.read_table(spark, path)
+    return table.rows()
 
 
 # --- backfill -----------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazeframe.functions.times import hour_of
 from hazeframe.operators.dedup import final
 from hazeframe.operators.incremental import upsert
-from hazeframe.sources import versions
+from hazeframe.sources.tables import StoredTable, partition_values
 
 HOUR_KEYS = ["datetime_hour", "station_id", "source", "pollutant"]
 
@@ -67,17 +67,17 @@ def dedup_stream(stream: DataFrame, keys: list[str], ts: str, within: str = "1 d
 
 def start_upsert(stream: DataFrame, target: str, checkpoint: str, keys: list[str], version: str,
                  partition: str, tiebreak: list[str] = ()):
-    """Last writer wins per key.  Only the partitions a batch touches are rewritten,
-    into new folders that a manifest switches to (``hazeframe.sources.versions``):
-    a crash leaves the old rows, and a replay gives the same rows again."""
+    """Last writer wins per key.  Only the partitions a batch touches are overwritten
+    (``hazeframe.sources.tables``): a crash leaves the old rows or is finished by
+    the next batch, and a replay gives the same rows again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        table = StoredTable(batch.sparkSession, target, partition)
         new = final(batch, keys, version, list(tiebreak))
-        touched = versions.slots_of(new, partition)
-        old = versions.read_table(spark, target, touched)
+        touched = partition_values(new, partition)
+        old = table.rows(touched)
         if old is not None:
             new = final(old.unionByName(new, allowMissingColumns=True), keys, version, list(tiebreak))
-        versions.replace_partitions(new, target, partition, touched)
+        table.replace_partitions(new, touched)
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
@@ -98,8 +98,8 @@ def recompute_hours(stream: DataFrame, history: str, target: str, checkpoint: st
         hours = new.select("day", hour_of(ts).alias("_hour")).distinct()  # day prunes partitions
         rows = spark.read.option("mergeSchema", True).parquet(history).withColumn("_hour", hour_of(ts)).join(hours, ["day", "_hour"], "left_semi")
         fresh = build(rows.drop("_hour", "run", "batch", "day")).withColumn("day", F.to_date("datetime_hour"))
-        touched = versions.slots_of(new, "day")
-        old = versions.read_table(spark, target, touched)
-        versions.replace_partitions(fresh if old is None else upsert(old, fresh, ["datetime_hour"]), target, "day", touched)
+        table, touched = StoredTable(spark, target, "day"), partition_values(new, "day")
+        old = table.rows(touched)
+        table.replace_partitions(fresh if old is None else upsert(old, fresh, ["datetime_hour"]), touched)
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

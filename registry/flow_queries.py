@@ -17,10 +17,12 @@ from hazeframe.operators import incremental as inc
 from hazeframe.operators import quality, spatial
 from hazeframe.plans.stored import SOURCES, StoredModels
 from hazeframe.session import shared_folder
-from hazeframe.sources import landing, payloads, schemas, sinks, versions
+from hazeframe.sources import landing, payloads, schemas, sinks
+from hazeframe.sources.tables import StoredTable
 from hazeframe.streaming import hourly
 from registry import roles as R
-from registry.base import query
+from registry import model_queries  # noqa: F401  (its entries are referred to)
+from registry.base import ENTRIES, query
 from registry.ctes import AS_OF, SIX, num, out, with_ctes
 
 RUN = datetime(2024, 1, 31, 1, 2, 3)
@@ -132,13 +134,21 @@ def _(spark, d):
     m, store = R.models(spark, d), StoredModels(spark, shared_folder(spark, "layers"))
     early = {s: m.raw[s].filter(F.col("raw_loaded_at") <= F.lit(datetime(2024, 1, 20, 12, 20))) for s in SOURCES}
     store.run(early | {"stations": m.raw["stations"], "wards": m.raw["wards"]})
-    store.run(m.raw)
+    store.run({s: m.raw[s] for s in (*SOURCES, "stations", "wards")})
     parts = [store.layer(layer).select(F.lit(layer).alias("layer"), F.col(at).cast("timestamp").alias("at_time"), "province",
                                        (F.col(ward) if ward else F.lit(None).cast("string")).alias("ward_code"), "source_mix", F.col(pm25).alias("pm25"),
                                        F.col(level).alias("level"), "last_ingested_at") for layer, (_, at, ward, pm25, level) in _LAYERS.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("stored_environment", "J9 S8 X19", ENTRIES["unified_environment"].sql)
+def _(spark, d):
+    """The joined facts of ``unified_environment``, read from layers that are clustered by ward."""
+    m, store = R.models(spark, d), StoredModels(spark, shared_folder(spark, "layers"))
+    store.run(m.raw)
+    return store.unified_environment(m.raw["wards"])
+
+
 # --- payloads ------------------------------------------------------------------------
 
 @query("air_pollution_payload", "S9 X15", out("""(SELECT event_id, date_trunc('second', ts) AS timestamp_utc, k AS aqi_reported, p.parameter, CASE p.parameter WHEN 'co' THEN v WHEN 'no' THEN v + 1 WHEN 'no2' THEN v + 2 WHEN 'o3' THEN v + 3 WHEN 'so2' THEN v + 4 WHEN 'pm25' THEN v * 2 ELSE v + 6 END AS value,
@@ -298,7 +308,7 @@ def _(spark, d):
     stream, folder = _stream(spark, d)
     dated = stream.withColumn("day", F.to_date("timestamp_utc"))
     hourly.start_upsert(dated, f"{folder}/out", f"{folder}/ck", ["station_id", "timestamp_utc", "parameter", "day"], "raw_loaded_at", "day", ["raw_sync_run_id"]).awaitTermination()
-    return versions.read_table(spark, f"{folder}/out").drop("day", "source")
+    return StoredTable(spark, f"{folder}/out", "day").rows().drop("day", "source")
 
 
 @query("stream_affected_hours", "R2 F2", out(f"(SELECT datetime_hour, count(*) AS readings, avg(value) AS avg_value FROM (SELECT date_trunc('hour', timestamp_utc) AS datetime_hour, value FROM raw_aqiin WHERE parameter IN ({SIX})) GROUP BY datetime_hour)", "datetime_hour readings ~avg_value"))
@@ -308,7 +318,7 @@ def _(spark, d):
     def build(rows):
         return rows.filter(F.col("parameter").isin(fv.POLLUTANTS)).groupBy(F.date_trunc("hour", "timestamp_utc").alias("datetime_hour")).agg(F.count(F.lit(1)).alias("readings"), F.avg("value").alias("avg_value"))
     hourly.recompute_hours(stream, f"{folder}/history", f"{folder}/out", f"{folder}/ck", build).awaitTermination()
-    return versions.read_table(spark, f"{folder}/out").drop("day")
+    return StoredTable(spark, f"{folder}/out", "day").rows().drop("day")
 
 
 _ARRIVED = datetime(2024, 1, 20, 12)

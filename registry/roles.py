@@ -174,6 +174,9 @@ class LazyTables(dict):
         super().__init__()
         self.builders = builders
 
+    def __contains__(self, name):
+        return name in self.builders
+
     def __missing__(self, name):
         self[name] = self.builders[name]()
         return self[name]

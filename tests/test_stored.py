@@ -4,8 +4,8 @@ from datetime import datetime, timedelta
 
 from hazeframe.operators import rollup
 from hazeframe.plans.air_quality import AirQualityModels
-from hazeframe.plans.stored import StoredModels
-from hazeframe.sources import versions
+from hazeframe.plans.stored import StoredModels, day_ranges
+from hazeframe.sources.tables import partition_values
 
 STAMPS = "ingest_time timestamp, raw_loaded_at timestamp, raw_sync_run_id string, raw_sync_started_at timestamp"
 JAN, FEB = datetime(2024, 1, 1, 5), datetime(2024, 2, 3, 7)
@@ -38,20 +38,30 @@ def rows(df, columns):
     return sorted(map(repr, df.select(*columns).collect()))
 
 
+def files(store, layer):
+    """Date of the partition -> its files."""
+    out = {}
+    for f in store.layer(layer).inputFiles():
+        out.setdefault(f.split("stored_part=")[1].split("/")[0], set()).add(f)
+    return out
+
+
 def test_late_rows_change_only_their_partitions(spark, tmp_path):
     store = StoredModels(spark, str(tmp_path))
     assert store.layer("ward_hour") is None
     store.run(raw_tables(spark, late=False))
-    before = versions.current(spark, f"{tmp_path}/ward_hour")[1]
-    assert sorted(before) == ["v2024-01-01", "v2024-02-03"]
+    before = files(store, "ward_hour")
+    assert sorted(before) == ["2024-01-01", "2024-02-03"]
 
     everything = raw_tables(spark, late=True)
     log = {r.source: r.records_ingested for r in store.run(everything).collect()}
     assert log == {"aqiin": 2}
-    after = versions.current(spark, f"{tmp_path}/ward_hour")[1]
-    assert after["v2024-02-03"] == before["v2024-02-03"] and after["v2024-01-01"] != before["v2024-01-01"]
-    # what a run reads of a layer are the folders of the touched partitions alone
-    assert all("2024-01-01" in f for f in store.layer("ward_hour", ["v2024-01-01"]).inputFiles())
+    after = files(store, "ward_hour")
+    assert after["2024-02-03"] == before["2024-02-03"] and not after["2024-01-01"] & before["2024-01-01"]
+    # what a run reads of a layer are the partitions of the touched dates alone
+    part = store.layer("ward_hour", [JAN.date()])
+    assert "PartitionFilters: [isnotnull(stored_part" in part._jdf.queryExecution().executedPlan().toString()
+    assert partition_values(part.select("date"), "date") == [JAN.date()]
 
     whole = AirQualityModels(everything)
     for layer, want in (("ward_hour", whole.ward_hourly), ("ward_day", whole.ward_daily), ("ward_month", whole.ward_monthly),
@@ -62,6 +72,31 @@ def test_late_rows_change_only_their_partitions(spark, tmp_path):
     assert store.layer("traffic_trend").count() == 4
     assert rollup.rollup_daily(store.layer("ward_hour")).count() == 4
 
-    number = versions.current(spark, f"{tmp_path}/ward_hour")[0]
     assert store.run(everything).isEmpty()
-    assert versions.current(spark, f"{tmp_path}/ward_hour")[0] == number
+    assert files(store, "ward_hour") == after
+
+
+def test_day_ranges_follow_the_days():
+    d = [datetime(2024, 1, 1).date() + timedelta(days=k) for k in (0, 1, 2, 400, 30)]
+    day = timedelta(days=1)
+    first = datetime(2024, 1, 1)
+    assert day_ranges(d) == [(first, first + 3 * day), (first + 30 * day, first + 31 * day), (first + 400 * day, first + 401 * day)]
+    assert day_ranges(d, most=2) == [(first, first + 31 * day), (first + 400 * day, first + 401 * day)]
+
+
+def test_stored_facts_meet_without_a_shuffle(spark, tmp_path):
+    store, raw = StoredModels(spark, str(tmp_path), buckets=4), raw_tables(spark, late=True)
+    weather = [("openweather", "Huế", "16.0_107.0", 16.0, 107.0, at, 20.0, 18.0, 22.0, 20.0, 60.0, 1010, 9000, 0.5, 90, 10, *stamped(datetime(2024, 2, 4), "run-1")) for at in (JAN, FEB)]
+    raw["weather"] = spark.createDataFrame(weather, "source string, province_name string, weather_cluster string, cluster_lat double, cluster_lon double, timestamp_utc timestamp, temp double, temp_min double, "
+                                                    f"temp_max double, feels_like double, humidity double, pressure int, visibility int, wind_speed double, wind_deg int, clouds_all int, {STAMPS}")
+    store.run(raw)
+    want = AirQualityModels(raw).unified_env
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = store.unified_environment(raw["wards"])
+        facts = store.layer("ward_hour").join(store.layer("weather_hour").select("ward_code", "datetime_hour", "temperature"), ["ward_code", "datetime_hour"]).join(
+            store.layer("traffic_hour").select("ward_code", "datetime_hour", "congestion_index"), ["ward_code", "datetime_hour"]).groupBy("ward_code", "date").count()
+        assert "Exchange" not in facts._jdf.queryExecution().executedPlan().toString()
+        assert rows(got, want.columns) == rows(want, want.columns) and got.count() > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,4 +1,4 @@
-"""Stored tables: schema growth, a crash before the switch, backfill across slices, hand-written figures."""
+"""Stored tables: schema growth, crashes before and during the insert, emptied partitions, clustered joins, backfill across slices, hand-written figures."""
 
 from datetime import datetime, timedelta
 
@@ -9,7 +9,8 @@ from hazeframe import session
 from hazeframe.functions import aqi
 from hazeframe.functions.predicates import monthly_where
 from hazeframe.operators import incremental as inc
-from hazeframe.sources import landing, versions
+from hazeframe.sources import landing
+from hazeframe.sources.tables import StoredTable
 
 
 def rows(df):
@@ -28,22 +29,55 @@ def test_grown_columns_survive_later_rewrites(spark, tmp_path):
     assert inc.materialize(out.filter("id = 1"), "u", "delete_insert", whole, ["id"]).filter("w = 30").count() == 1
 
 
-def test_crash_between_write_and_switch_keeps_the_table(spark, tmp_path, monkeypatch):
+def test_crash_before_the_folder_is_complete_changes_nothing(spark, tmp_path, monkeypatch):
     path, old = str(tmp_path / "t"), spark.createDataFrame([(1, 1.0), (2, 2.0)], "id long, v double")
     inc.materialize(old, "t", "table", path)
+    new = spark.createDataFrame([(2, 7.0)], "id long, v double")
+    dying = new.withColumn("v", F.expr("assert_true(id > 5)").cast("double"))
+    with pytest.raises(Exception):
+        inc.materialize(dying, "t", "delete_insert", path, ["id"])
+    assert rows(StoredTable(spark, path).rows()) == [(1, 1.0), (2, 2.0)]
+    assert rows(inc.materialize(new, "t", "delete_insert", path, ["id"])) == [(1, 1.0), (2, 7.0)]
+
+
+def test_crash_between_write_and_insert_is_finished_by_the_next_opener(spark, tmp_path, monkeypatch):
+    path, old = str(tmp_path / "t"), spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "id long, p string, v double")
+    inc.materialize(old, "t", "table", path, partition="p")
 
     def dies(*_):
         raise KeyboardInterrupt
-    new = spark.createDataFrame([(2, 7.0)], "id long, v double")
+    new = spark.createDataFrame([(2, "b", 7.0)], "id long, p string, v double")
     with monkeypatch.context() as m:
-        m.setattr(versions, "switch", dies)
+        m.setattr(StoredTable, "_aligned", dies)
         with pytest.raises(KeyboardInterrupt):
-            inc.materialize(new, "t", "delete_insert", path, ["id"])
-    assert rows(versions.read_table(spark, path)) == [(1, 1.0), (2, 2.0)]
-    assert rows(inc.materialize(new, "t", "delete_insert", path, ["id"])) == [(1, 1.0), (2, 7.0)]
-    number, content = versions.current(spark, path)
-    with pytest.raises(RuntimeError):
-        versions.switch(spark, path, number, content)
+            inc.materialize(new, "t", "delete_insert", path, ["id", "p"], "p")
+    assert rows(StoredTable(spark, path, "p").rows().select("id", "v")) == [(1, 1.0), (2, 7.0)]
+    assert not (tmp_path / "t_pending").exists()
+
+
+def test_emptied_partitions_and_a_lost_catalogue(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = StoredTable(spark, path, "p", ("id",), 4)
+    assert table.rows() is None
+    table.replace_all(spark.createDataFrame([(1, 1.0, "it's"), (2, 2.0, "b"), (3, 3.0, None)], "id long, v double, p string"))
+    table.replace_partitions(spark.createDataFrame([(9, 9.0, "b")], "id long, v double, p string"), ["b", "it's", None])
+    assert rows(table.rows()) == [(9, 9.0, "b")] and rows(table.rows(["it's", None])) == []
+    spark.sql(f"DROP TABLE {table.name}")
+    assert rows(StoredTable(spark, path, "p", ("id",), 4).rows()) == [(9, 9.0, "b")]
+
+
+def test_clustered_facts_join_and_roll_up_without_a_shuffle(spark, tmp_path):
+    facts = spark.range(2000).select((F.col("id") % 50).cast("string").alias("ward_code"), (F.col("id") % 40).alias("hour"), (F.col("id") % 3).alias("p"), F.col("id").alias("v"))
+    a, b = (inc.materialize(facts.withColumnRenamed("v", c), c, "table", str(tmp_path / c), partition="p", cluster=("ward_code",)) for c in ("v", "w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.drop("p").join(b.drop("p"), ["ward_code", "hour"]).groupBy("ward_code").agg(F.sum("v").alias("v"), F.sum("w").alias("w"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        want = facts.drop("p").join(facts.drop("p").withColumnRenamed("v", "w"), ["ward_code", "hour"]).groupBy("ward_code").agg(F.sum("v"), F.sum("w"))
+        assert rows(joined) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_backfill_keeps_one_row_per_key_across_slices(spark, tmp_path):
