@@ -41,6 +41,23 @@ def final(df: DataFrame, keys: list[str], version, tiebreak: list[str] = ()) ->
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
+def final_late(df: DataFrame, keys: list[str], version: str, tiebreak: list[str] = ()) -> DataFrame:
+    """``final`` for keys with many versions, which fetches whole rows late.
+
+    The newest version per key is a hash aggregate over keys and version alone
+    (a scan reads only these columns).  Whole rows are read once more and kept if
+    they have it: before their shuffle where Spark finds the newest versions
+    small enough to broadcast or to filter by, after it otherwise.  Only rows
+    that tie for the newest version are compared by ``tiebreak``.  ``version``
+    must be of a fixed-width type; a null version is older than any other.
+    """
+    newest = df.groupBy(*keys).agg(F.max(version).alias("_newest")).withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
+    same = F.col(version).eqNullSafe(F.col("_newest"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    return final(df.join(newest, same, "left_semi"), keys, version, tiebreak)
+
+
 def limit_by(df: DataFrame, keys: list[str], order: list, n: int = 1) -> DataFrame:
     """First ``n`` rows of every key in the given order."""
     w = Window.partitionBy(*keys).orderBy(*order)

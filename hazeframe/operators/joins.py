@@ -7,15 +7,18 @@ under AQE) and shuffles otherwise, so a dimension may grow with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe.functions import naming
 from hazeframe.functions.aggregates import arg_max, ratio
 from hazeframe.functions.predicates import present
+from hazeframe.session import stored
 
 ALL_LOCATIONS = "ALL"
 DEFAULT_CALIBRATION = 0.8
+#: Level of bands that are open at a side.
+ENDLESS = 1_000_000
 
 
 def attach_station(measurements: DataFrame, stations: DataFrame, source: str) -> DataFrame:
@@ -52,6 +55,42 @@ def band_join(df: DataFrame, bands: DataFrame, key: str, value: str, band_key: s
     return df.join(bands, hit, "left").drop(band_key, lo, hi)
 
 
+def band_join_cells(df: DataFrame, bands: DataFrame, key: str, value: str, band_key: str, lo: str, hi: str, coarseness: int = 3) -> DataFrame:
+    """``band_join`` for many bands per key: bands and values meet in cells, not in one hot key.
+
+    A band belongs to the level whose cells, a power of two wide, are no
+    narrower than itself; it touches three cells there at most.  A value looks
+    into its one cell of every level that occurs (levels are rounded up to
+    multiples of ``coarseness``; doubles have some 2,100 exponents, so the list
+    of levels is short).  Bounds remain as a residual filter.  Bands without
+    bounds at a side (infinite or NaN) have a level of a single cell.
+    """
+    low, high = F.col(lo).cast("double"), F.col(hi).cast("double")
+    width, top = high - low, F.greatest(F.abs(low), F.abs(high))
+    endless = F.isnan(width) | (F.abs(width) == float("inf"))
+    finest = F.when(top > 0, F.ceil(F.log2(top)) - 50).otherwise(-1000)  # cells stay whole numbers
+    level = F.greatest(F.when(width > 0, F.ceil(F.log2(width))).otherwise(-1000), finest)
+    level = F.when(~endless, (F.ceil(level / coarseness) * coarseness).cast("int"))
+    sized = bands.filter((low <= high) & F.col(band_key).isNotNull()).withColumn("_level", level)
+
+    def cell(x: Column, of: Column) -> Column:
+        return F.coalesce(F.floor(x / F.pow(F.lit(2.0), of)), F.lit(0)).cast("long")
+    first, last = cell(low, F.col("_level")), cell(high, F.col("_level"))
+    placed = sized.withColumn("_cell", F.explode(F.sequence(first, last))).withColumn("_level", F.coalesce("_level", F.lit(ENDLESS)))
+    levels = [r[0] for r in sized.select("_level").distinct().collect()]  # by exponent, not by row
+    rows = stored(df.withColumn("_id", F.monotonically_increasing_id()), "band-join-rows")
+    v = F.col(value).cast("double")
+    looks = [F.struct(F.lit(ENDLESS if x is None else x).alias("_level"), (F.lit(0).cast("long") if x is None else cell(v, F.lit(float(x)))).alias("_cell")) for x in levels]
+    if not looks:
+        return rows.drop("_id").join(bands.limit(0).drop(band_key, lo, hi), F.lit(False), "left")
+    probes = rows.filter(v.isNotNull() & F.col(key).isNotNull()).select("_id", F.col(key).alias("_key"), v.alias("_value"), F.explode(F.array(*looks)).alias("_at")).select("_id", "_key", "_value", "_at.*")
+    placed = placed.withColumnsRenamed({"_level": "_band_level", "_cell": "_band_cell"})
+    hit = ((F.col("_key") == F.col(band_key)) & (F.col("_level") == F.col("_band_level")) & (F.col("_cell") == F.col("_band_cell"))
+           & (F.col("_value") >= F.col(lo)) & (F.col("_value") <= F.col(hi)))
+    found = probes.join(placed, hit).select("_id", *[c for c in bands.columns if c not in (band_key, lo, hi)])
+    return rows.join(found, "_id", "left").drop("_id")
+
+
 def overview(fact: DataFrame, dim: DataFrame, grain: str) -> DataFrame:
     """Ward facts with names and geography; wards lacking either are dropped."""
     geography = dim.filter(present("ward_code", "province", "ward_name")).select(

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeframe import fixed_values as fv
 from hazeframe.functions import predicates
-from hazeframe.operators import dedup, joins, rollup, spatial
+from hazeframe.operators import dedup, distinct, joins, rollup, spatial
 from hazeframe.plans import air_quality, marts
+from hazeframe.session import stored
 from registry import roles as R
-from registry.base import query
+from registry.base import ENTRIES, query
 from registry.ctes import AS_OF, GRID, MODE_MIX, haversine, out, with_ctes
 
 CONC = " ".join(f"~{p}_avg" for p in fv.POLLUTANTS)
@@ -499,6 +502,47 @@ def _(spark, d):
     return dedup.final(R.table(spark, d, "lineitem"), ["l_partkey"], "l_shipdate", ["l_orderkey", "l_linenumber", "l_extendedprice"])
 
 
+@query("final_rows_late", "A2 A3", ENTRIES["final_rows"].sql)
+def _(spark, d):
+    return dedup.final_late(R.table(spark, d, "lineitem"), ["l_partkey"], "l_shipdate", ["l_orderkey", "l_linenumber", "l_extendedprice"])
+
+
+_DISTINCT = " UNION ALL ".join(
+    f"SELECT '{grain}' AS grain, CAST({at} AS TIMESTAMP) AS at_time, {area} AS province, count(DISTINCT ward_code) AS wards, count(DISTINCT date) AS days FROM ward_hourly GROUP BY ALL"
+    for grain, at, area in (("hour", "datetime_hour", "province"), ("day", "date", "province"), ("month", "date_trunc('month', date)", "province"), ("nation_month", "date_trunc('month', date)", "NULL::VARCHAR")))
+
+
+@query("distinct_by_bitmap", "G4 G5 G15 G22 J13", out(f"({_DISTINCT})", "grain at_time province wards days"))
+def _(spark, d):
+    """Wards and days at four grains, all from the stored bitmaps of province-hours."""
+    hours = M(spark, d).ward_hourly.select("datetime_hour", "date", "province", "ward_code")
+    numbers = distinct.number_keys(hours, "ward_code")
+    by = ["datetime_hour", "province"]
+    wards = distinct.distinct_bitmaps(hours.join(numbers, "ward_code"), by, "number").withColumn("kind", F.lit("wards"))
+    days = distinct.distinct_bitmaps(hours, by, distinct.day_number("date")).withColumn("kind", F.lit("days"))
+    bits = stored(wards.unionByName(days), "ward-bitmaps")
+    none = F.lit(None).cast("string")
+    grains = {"hour": (F.col("datetime_hour"), F.col("province")), "day": (F.to_date("datetime_hour"), F.col("province")),
+              "month": (F.trunc("datetime_hour", "month"), F.col("province")), "nation_month": (F.trunc("datetime_hour", "month"), none)}
+    parts = []
+    for grain, (at, area) in grains.items():
+        placed = bits.select(at.cast("timestamp").alias("at_time"), area.alias("province"), "kind", "block", "bits")
+        counts = distinct.distinct_counts(placed, ["at_time", "province", "kind"], "n")
+        parts.append(counts.groupBy("at_time", "province").agg(*[F.max(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in ("wards", "days")]).withColumn("grain", F.lit(grain)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("band_join_cells", "J8", out("(SELECT l_orderkey, l_linenumber, o_orderkey AS band FROM lineitem LEFT JOIN orders ON l_extendedprice >= o_totalprice AND l_extendedprice <= o_totalprice + CASE WHEN o_orderkey % 8 = 0 THEN 40 ELSE 0.5e0 END)", "l_orderkey l_linenumber band"))
+def _(spark, d):
+    """Prices between the bounds of thousands of bands that share one key."""
+    one = F.lit("price")
+    bands = R.table(spark, d, "orders").select(
+        one.alias("name"), F.col("o_totalprice").cast("double").alias("low"),
+        (F.col("o_totalprice") + F.when(F.col("o_orderkey") % 8 == 0, 40.0).otherwise(0.5)).cast("double").alias("high"), F.col("o_orderkey").alias("band"))
+    rows = R.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", one.alias("parameter"))
+    return joins.band_join_cells(rows, bands, "parameter", "l_extendedprice", "name", "low", "high").select("l_orderkey", "l_linenumber", "band")
+
+
 @query("keep_last_record", "A3", out("(SELECT o_custkey, o_orderpriority, max(o_orderdate) AS o_orderdate, first(o_orderkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS o_orderkey, first(o_totalprice ORDER BY o_orderdate DESC, o_orderkey DESC) AS o_totalprice, first(o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) AS o_orderstatus FROM orders GROUP BY o_custkey, o_orderpriority)", "o_custkey o_orderpriority o_orderdate o_orderkey ~o_totalprice o_orderstatus"))
 def _(spark, d):
     return dedup.keep_last(R.table(spark, d, "orders"), ["o_custkey", "o_orderpriority"], "o_orderdate", ["o_orderkey"])

@@ -7,7 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from hazeframe.operators import dedup, incremental, joins, ranking, spatial
+from hazeframe import session
+from hazeframe.operators import dedup, distinct, incremental, joins, ranking, spatial
 from hazeframe.plans import alerts, marts
 
 
@@ -180,3 +181,55 @@ def test_current_rows_keep_ward_and_fill_gaps(spark):
     good, bad = incremental.normalise_traffic(df, lambda x: spatial.nearest_enrich(x, refs, ref_key="ward_code"))
     assert {(r.ward_code, r.current_speed, r.traffic_source) for r in good.collect()} == {("1", 7.0, "api"), ("9", 5.0, "api")}
     assert [r.quarantine_reason for r in bad.collect()] == ["missing_lat_lon"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_rows_equal_whole_rows_on_ties_and_nulls(spark):
+    r = random.Random(5)
+    rows = [(r.choice(["a", "b", None]), r.choice([1, 2, None]), r.choice([1, 2, 3, None]), f"t{r.randrange(4)}", i % 7) for i in range(300)] + [("z", 1, None, "t", 0), ("z", 1, None, "u", 0)]
+    df = spark.createDataFrame(rows, "k string, j int, v int, t string, n int")
+    late, whole = dedup.final_late(df, ["k", "j"], "v", ["t", "n"]), dedup.final(df, ["k", "j"], "v", ["t", "n"])
+    assert sorted(map(repr, late.collect())) == sorted(map(repr, whole.collect())) and late.count() == 10
+    plan = plan_of(late)
+    assert "HashAggregate(keys=[k" in plan and "LeftSemi" in plan
+    assert dedup.final_late(df.limit(0), ["k", "j"], "v", ["t"]).count() == 0
+
+
+def test_bitmaps_count_what_distinct_counts(spark):
+    r = random.Random(6)
+    rows = [(h, r.choice("xy"), r.choice([None, *[f"w{k}" for k in range(70_000)]]) if h else f"w{i}") for h in range(3) for i in range(40_000 if h == 0 else 3000)]
+    df = spark.createDataFrame(rows, "hour int, area string, ward string")
+    numbers = distinct.number_keys(df.filter("hour < 2"), "ward")
+    numbers = distinct.number_keys(df, "ward", session.stored(numbers, "first-numbers"))
+    given = [x.number for x in numbers.collect()]
+    assert sorted(given) == list(range(1, len(given) + 1)) and len(given) > 32_768
+    bits = session.stored(distinct.distinct_bitmaps(df.join(numbers, "ward"), ["hour", "area"], "number"), "bits")
+    for by in (["hour", "area"], ["hour"], ["area"]):
+        counts = distinct.distinct_counts(bits, by, "n")
+        assert "Expand" not in plan_of(counts)
+        assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, df.groupBy(*by).agg(F.count_distinct("ward")).collect()))
+
+
+def test_many_bands_of_one_key(spark):
+    r = random.Random(8)
+    inf, nan = float("inf"), float("nan")
+    lows = [r.choice([-1, 1]) * r.random() * 10 ** r.randrange(-3, 7) for _ in range(3000)]
+    bands = [("p", x, x + r.choice([0.0, 0.001, 1.0, 37.5, 1e5]), i) for i, x in enumerate(lows)]
+    bands += [("p", -inf, -1e5, 9000), ("p", 1e6, inf, 9001), ("p", None, 3.0, 9002), ("p", 5.0, 4.0, 9003), (None, 0.0, 9.0, 9004), ("q", 0.0, 0.0, 9005), ("p", 1.0, nan, 9006)]
+    values = [("p", x) for x in lows[:400]] + [("p", r.uniform(-2e6, 2e6)) for _ in range(300)] + [("q", 0.0), ("q", 1.0), ("r", 1.0), (None, 1.0), ("p", None), ("p", inf), ("p", 0.0), ("p", 0.0)]
+    df = spark.createDataFrame(values, "parameter string, value double")
+    table = spark.createDataFrame(bands, "name string, low double, high double, band int")
+    args = ("parameter", "value", "name", "low", "high")
+    got, want = joins.band_join_cells(df, table, *args), joins.band_join(df, table, *args)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 1000
+    assert [tuple(x) for x in joins.band_join_cells(df, table.limit(0), *args).filter("parameter = 'q'").collect()] == [("q", 0.0, None), ("q", 1.0, None)]
+
+
+def test_a_hundred_thousand_bands(spark):
+    bands = spark.range(100_000).select(F.lit("p").alias("name"), F.col("id").cast("double").alias("low"), (F.col("id") + 0.5).alias("high"), F.col("id").alias("band"))
+    rows = spark.range(200_000).select(F.lit("p").alias("parameter"), (F.col("id") * 0.5 + 0.25).alias("value"))
+    got = joins.band_join_cells(rows, bands, "parameter", "value", "name", "low", "high")
+    assert got.filter("band = floor(value)").count() == 100_000 and got.filter("band is null").count() == 100_000
