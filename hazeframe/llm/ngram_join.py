@@ -6,10 +6,14 @@ Equal sets are merged first.  The others fall into two kinds.
   lists all its subsets of c shingles per partner size, so two sets that share a
   listed subset are linked for certain and nothing needs to be compared.
 * Heavy sets: listing subsets explodes, so inverted lists are scanned.  A list
-  belongs to a piece of a set: the shingles are dealt by hash to one piece more
-  than the largest symmetric difference that a linked pair may have, so linked
-  sets agree on a whole piece and meet in its list.  Lists of single shingles
-  would hold every document that quotes a common passage; lists of pieces do not.
+  belongs to a piece of a set: the shingles are dealt by hash to more pieces than
+  the largest symmetric difference that a linked pair may have, so linked sets
+  agree on some whole pieces and meet in their lists.  Lists of single shingles
+  would hold every document that quotes a passage, and sets that share nothing
+  else; lists of pieces do not.  There are spare pieces: as many as a set may
+  leave unlisted because they are empty or hold common shingles only.  What is
+  common is told by a table of fixed size that counts every shingle of the
+  corpus; it changes lengths of lists, never results.
 
 The boundary between the kinds is the size at which listing costs more than
 scanning, from the sizes at hand.  Sets that meet in lists form clusters; a
@@ -115,14 +119,20 @@ class Measure:
         return self._bounds(1 << max(10, int(n).bit_length()))
 
     @lru_cache(maxsize=4096)
-    def pieces(self, size_class: int) -> int:
-        """One more than the largest symmetric difference of a linked pair whose smaller set is in the class.
+    def difference(self, size_class: int) -> int:
+        """Largest symmetric difference of a linked pair whose smaller set is in the class.
 
         It rises with the sum of the sizes but for rounding, which repeats within ``100 + percent``.
         """
         n = int(self.bounds(1 << 40)[size_class + 1]) - 1
         top = n + self.largest(n)
-        return 1 + max(total - 2 * self.overlap(total, 0) for total in range(max(2, top - 2 * (100 + self.percent)), top + 1))
+        return max(total - 2 * self.overlap(total, 0) for total in range(max(2, top - 2 * (100 + self.percent)), top + 1))
+
+    def pieces(self, size_class: int) -> tuple[int, int]:
+        """(pieces, spare ones): linked sets agree on at least one piece more than there are spare ones."""
+        needed = self.difference(size_class) + 1
+        spare = needed * 3 // 20 + 4
+        return needed + spare, spare
 
     @lru_cache(maxsize=4096)
     def partners(self, n: int, boundary: int) -> tuple[tuple[int, int], ...]:
@@ -146,7 +156,7 @@ def choose_boundary(measure: Measure, sizes: dict[int, int], scan_cost: float =
         if any(measure.listed(n, x) > most_listed for n in range(max(1, x - 1), reach + 1)):
             break
         light = sum(c * measure.listed(n, x) for n, c in sizes.items() if n <= reach)
-        heavy = sum(c * scan_cost * 2 * measure.pieces(measure.size_class(n)) for n, c in sizes.items() if n > x)
+        heavy = sum(c * scan_cost * 2 * measure.pieces(measure.size_class(n))[0] for n, c in sizes.items() if n > x)
         if best_cost is None or light + heavy < best_cost:
             best, best_cost = x, light + heavy
     return best
@@ -171,19 +181,30 @@ def subset_keys(s: np.ndarray, measure: Measure, boundary: int) -> tuple[np.ndar
     return (np.concatenate(keys), np.concatenate(roles)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int8))
 
 
-def piece_keys(s: np.ndarray, measure: Measure, boundary: int) -> np.ndarray:
-    """Keys of the pieces of a set, in the scheme of its own size class and of the class below."""
+def piece_keys(s: np.ndarray, measure: Measure, boundary: int, common: np.ndarray) -> np.ndarray:
+    """Keys of the pieces of a set, in the scheme of its own size class and of the class below.
+
+    A piece without any shingle that is rare enough (``common`` marks the slots of
+    the others), such as an empty one, says little and would tie unrelated sets.
+    A set with no more such pieces than there are spare ones lists only its other
+    pieces: it agrees on one of these with every linked set.  The few sets with
+    more list all, so two of them still meet.
+    """
     n, keys = len(s), []
     own = measure.size_class(n)
+    rare = ~common[slot_of(s)]
     for k in (own, own - 1):
         if k < 0 or measure.bounds(n)[k + 1] - 1 <= boundary or (k < own and measure.smallest(n) >= measure.bounds(n)[own]):
             continue
-        pieces = measure.pieces(k)
+        pieces, spare = measure.pieces(k)
         with np.errstate(over="ignore"):
             where = (scramble(s + np.uint64(k + 1) * _BASE) % np.uint64(pieces)).astype(np.int64)
             sums = np.zeros(pieces, np.uint64)
             np.add.at(sums, where, scramble(s ^ _RANDOM[0]))
-            keys.append(scramble(sums + scramble(np.arange(pieces, dtype=np.uint64) + np.uint64(k + 1) * _RANDOM[1])))
+            names = scramble(sums + scramble(np.arange(pieces, dtype=np.uint64) + np.uint64(k + 1) * _RANDOM[1]))
+        telling = np.zeros(pieces, bool)
+        telling[where[rare]] = True
+        keys.append(names[telling] if pieces - int(telling.sum()) <= spare else names)
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -197,19 +218,73 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def shingle_marks(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``doc_id, n_shingles, mark`` of every row."""
+#: Slots of the corpus table of shingle counts (4 MiB of counts), and of one block of it.
+SLOT_BITS, BLOCK_BITS = 20, 14
+
+
+def slot_of(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def common_slots(counts: np.ndarray) -> np.ndarray:
+    """Slots that occur far more often than chance deals shingles to slots: they hold a passage that many documents quote."""
+    mean = counts.mean()
+    return counts > mean + 10 * np.sqrt(mean) + 20
+
+
+def _marks_and_counts(words: int):
+    """A row per document, and at the end of a task its counts by blocks of slots; equal sets it has just seen count once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        seen: set[int] = set()
         for b in batches:
             sets = [shingle_set(t, words) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [len(s) for s in sets], "mark": [mark_of(s) for s in sets]})
-    return _texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, n_shingles long, mark long")
+            marks = [mark_of(s) for s in sets]
+            new = [s for m, s in dict(zip(marks, sets)).items() if m not in seen]
+            if len(seen) > 200_000:
+                seen.clear()
+            seen.update(marks)
+            if new:
+                counts += np.bincount(slot_of(np.concatenate(new)), minlength=len(counts))
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [len(s) for s in sets], "mark": marks, "block": pd.Series(None, b.index, "Int32"), "counts": None})
+        blocks = counts.reshape(-1, 1 << BLOCK_BITS)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pd.DataFrame({"doc_id": pd.Series(None, range(len(used)), "Int64"), "n_shingles": 0, "mark": 0, "block": pd.Series(used, dtype="Int32"), "counts": [x.astype("<u4").tobytes() for x in blocks[used]]})
+    return run
+
+
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of each block added up; rows arrive sorted by block and are not kept."""
+    block, total = None, None
+    for b in batches:
+        for at, raw in zip(b["block"], b["counts"]):
+            if at != block:
+                if block is not None:
+                    yield pd.DataFrame({"block": [block], "counts": [total.tobytes()]})
+                block, total = at, np.zeros(1 << BLOCK_BITS, np.int64)
+            total += np.frombuffer(raw, "<u4")
+    if block is not None:
+        yield pd.DataFrame({"block": [block], "counts": [total.tobytes()]})
+
+
+def shingle_marks(docs: DataFrame, id_col: str, text_col: str, words: int) -> tuple[DataFrame, np.ndarray]:
+    """``doc_id, n_shingles, mark`` of every row, and for each slot how often its shingles occur in the corpus.
+
+    The counts reach the driver as one table of fixed size, however large the corpus.
+    """
+    schema = "doc_id long, n_shingles long, mark long, block int, counts binary"
+    both = stored(_texts(docs, id_col, text_col).mapInPandas(_marks_and_counts(words), schema), "shingle-marks")
+    parts = both.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+    counts = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.int64)
+    for row in parts.mapInPandas(_summed, "block int, counts binary").collect():
+        counts[row.block] = np.frombuffer(row.counts, np.int64)
+    return both.filter("block is null").select("doc_id", "n_shingles", "mark"), np.minimum(counts.ravel(), 2**32 - 1).astype(np.uint32)
 
 
 PIECE = 2  # role of rows in piece lists; rows of subset lists have 0 or 1
 
 
-def _list_keys(measure: Measure, boundary: int, words: int):
+def _list_keys(measure: Measure, boundary: int, words: int, common: np.ndarray):
     """Rows ``key, role, mark`` of every set.  A task gives equal sets it has just seen once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -225,7 +300,7 @@ def _list_keys(measure: Measure, boundary: int, words: int):
                 seen.add(mark)
                 kinds = [subset_keys(s, measure, boundary)] if len(s) <= measure.largest(boundary) else []
                 if len(s) > boundary:
-                    k = piece_keys(s, measure, boundary)
+                    k = piece_keys(s, measure, boundary, common)
                     kinds.append((k, np.full(len(k), PIECE, np.int8)))
                 for k, role in kinds:
                     marks.append(np.full(len(k), mark, np.int64)), keys.append(k), roles.append(role)
@@ -314,13 +389,14 @@ def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3, id_co
     """
     ship(docs.sparkSession)
     measure = Measure(percent)
-    marks = stored(shingle_marks(docs, id_col, text_col, words), "shingle-marks")
+    marks, counts = shingle_marks(docs, id_col, text_col, words)
+    common = common_slots(counts)
     classes = stored(marks.filter("n_shingles > 0 and doc_id is not null").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("class_id")), "shingle-classes")
     small = {r["n_shingles"]: r["count"] for r in classes.filter("n_shingles <= 64").groupBy("n_shingles").count().collect()}  # 64 rows at most
     boundary = choose_boundary(measure, small)
 
     named = _texts(docs, id_col, text_col).filter("doc_id is not null")
-    lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words), "key long, role byte, mark long")
+    lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words, common), "key long, role byte, mark long")
     ties = stored(lists.repartition("key").sortWithinPartitions("key", "role", "mark").mapInPandas(_first_of_list, "sure boolean, a long, b long").distinct(), "list-ties")
     clusters = connected_components(ties.filter("not sure").select("a", "b"), "list-clusters").select(F.col("node").alias("mark"), F.col("component").alias("cluster"))
     wanted = classes.join(clusters, "mark").select(F.col("class_id").alias("doc_id"), F.col("mark").alias("wanted"), "cluster")

@@ -192,11 +192,50 @@ def test_jaccard_on_odd_rows(odd_docs):
 
 
 def test_pieces_cover_every_linked_pair():
-    measure = ngram_join.Measure(90)
-    for n in range(1, 400):
-        k = measure.pieces(measure.size_class(n))
-        assert all(n + m - 2 * measure.overlap(n, m) < k for m in range(n, measure.largest(n) + 1))
-        assert measure.size_class(measure.largest(n)) - measure.size_class(n) <= 1
+    for percent in (80, 90):
+        measure = ngram_join.Measure(percent)
+        for n in range(1, 400):
+            pieces, spare = measure.pieces(measure.size_class(n))
+            assert all(n + m - 2 * measure.overlap(n, m) < pieces - spare for m in range(n, measure.largest(n) + 1))
+            assert measure.size_class(measure.largest(n)) - measure.size_class(n) <= 1
+
+
+def test_listed_pieces_meet_every_linked_set():
+    rng = np.random.default_rng(7)
+    for percent in (80, 90):
+        measure = ngram_join.Measure(percent)
+        for _ in range(600):
+            common = rng.random(1 << ngram_join.SLOT_BITS) < rng.choice([0.0, 0.3, 0.7, 0.95])
+            n = int(rng.integers(1, 150))
+            m = int(rng.integers(measure.smallest(n), measure.largest(n) + 1))
+            both = measure.overlap(n, m)
+            if both > min(n, m):
+                continue
+            pool = rng.integers(0, 2**63, n + m - both, dtype=np.uint64)
+            a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:both], pool[n:]]))
+            assert set(ngram_join.piece_keys(a, measure, 0, common)) & set(ngram_join.piece_keys(b, measure, 0, common))
+
+
+@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
+def test_unrelated_documents_do_not_meet(docs_frame, words, percent):
+    """Not even where a third of them quote one passage: no lists are shared, so no tile compares them."""
+    rng = random.Random(words)
+    passage = " ".join(f"common{k}" for k in range(60))
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(rng.choice([300, 500]))) + (f" {passage}" if i % 3 == 0 else ""), "s") for i in range(1500)]
+    docs, measure = docs_frame(rows).repartition(4), ngram_join.Measure(percent)
+    marks, counts = ngram_join.shingle_marks(docs, "doc_id", "text", words)
+    assert counts.sum() == sum(r.n_shingles for r in marks.collect())
+    keys = defaultdict(int)
+    for _, text, _ in rows:
+        for k in ngram_join.piece_keys(ngram_join.shingle_set(text, words), measure, 7, ngram_join.common_slots(counts)):
+            keys[k] += 1
+    assert sum(n > 1 for n in keys.values()) == 0
+
+
+def test_jaccard_of_five_words_and_four_fifths(docs_frame):
+    rows = near_copies(5, 260, [30, 60, 150])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs_frame(rows).repartition(5), percent=80, words=5).collect()}
+    assert got == brute_jaccard(rows, words=5, percent=80)
 
 
 def page(body):
