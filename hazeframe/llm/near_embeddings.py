@@ -23,13 +23,26 @@ from hazeframe.llm.graph import connected_components, local_forest
 from hazeframe.llm.tables import ship, stored
 
 TILE = 512
-SLACK = 1e-6  # single precision in the bounds; decisions are double
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; first scaled by a power of two (exactly), so that squares of extreme components neither overflow nor vanish."""
+    if not x.size:
+        return x
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def slack(d: int) -> float:
+    """Bound of the error that single precision brings into a bound on the cosine of rows of length ``d``.
+
+    Rotating a unit row is off by at most ``(d + 2) sqrt(d)`` roundings in
+    length, on both sides; sums and suffix norms add less than as much again.
+    Decisions are in double precision.
+    """
+    return 3 * (d + 4) * np.sqrt(d) * 2.0 ** -24
+
+
 @dataclass
 class Splits:
     """A k-d tree over leading dimensions: node i splits ``dim[i]`` at ``cut[i]``; children 2i+1 and 2i+2."""
@@ -59,17 +72,18 @@ def fit_splits(sample: np.ndarray, depth: int, dims: int) -> Splits:
 def close_pairs(x: np.ndarray, y: np.ndarray, turned_x: np.ndarray, turned_y: np.ndarray, threshold: float, step: int = 16):
     """Index pairs with cosine >= threshold, given unit rows and their rotated copies (single precision)."""
     d = turned_x.shape[1]
+    least = threshold - slack(d)
     ends = list(range(step, d, step)) + [d]
     left_x, left_y = suffix_norms(turned_x, ends), suffix_norms(turned_y, ends)
     done = ends[0]
     sums = turned_x[:, :done] @ turned_y[:, :done].T
-    i, j = np.nonzero(sums + np.outer(left_x[0], left_y[0]) >= threshold - SLACK)
+    i, j = np.nonzero(sums + np.outer(left_x[0], left_y[0]) >= least)
     sums = sums[i, j]
     for k, end in enumerate(ends[1:], 1):
         if not len(i):
             break
         sums = sums + np.einsum("nd,nd->n", turned_x[i, done:end], turned_y[j, done:end])
-        keep = sums + left_x[k][i] * left_y[k][j] >= threshold - SLACK
+        keep = sums + left_x[k][i] * left_y[k][j] >= least
         i, j, sums, done = i[keep], j[keep], sums[keep], end
     if len(i):
         exact = np.einsum("nd,nd->n", x[i], y[j]) >= threshold
@@ -96,9 +110,10 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col:
                          leaf_rows: int = 6144, most_leaves: int = 1024, sample_rows: int = 50_000, lead: int = 8) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
-    Null, zero and non-finite vectors, vectors of another length than most
-    rows compared with and rows without an id link with nothing.  Repeated
-    rows are vectors of their own and link with each other.  The k-d tree is
+    Null, zero and non-finite vectors and rows without an id link with nothing;
+    vectors are compared with those of their own length, components of any
+    finite size count.  Repeated rows are vectors of their own and link with
+    each other.  An empty table gives no rows; other columns are ignored.  The k-d tree is
     fitted on ``sample_rows`` vectors at most and has ``most_leaves`` leaves at
     most; fuller leaves are dealt to several parts, so nothing is left out.
     """
