@@ -45,10 +45,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All (suffix of whole host labels + path prefix of a listed length) keys, longest host first."""
+def candidate_keys(host: Column, path: Column, lengths: list[int], depths: list[int]) -> Column:
+    """All (suffix of as many host labels as a listed host has + path prefix of a listed length) keys, longest host first.
+
+    No other suffix can be listed, so a host of very many labels gives no more keys than there are listed depths and lengths.
+    """
     labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+    known = F.filter(F.array(*map(F.lit, sorted(depths, reverse=True))), lambda n: n <= F.size(labels))
+    suffixes = F.transform(known, lambda n: F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n)))
     prefixes = F.filter(F.array(*[F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda p: p.isNotNull())
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
         F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
@@ -164,14 +168,16 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
     The longest listed key of a url is its rule; a url without one is not on the
     list, so it gets ``default``.  Null or odd urls have an empty host and no
-    rule.  Repeated rows repeat their result; other columns are ignored.
+    rule.  Repeated rows repeat their result; other columns are ignored; an
+    empty table gives no rows.  Urls of any length are read whole.
     """
     spark = pages.sparkSession
     ship(spark)
     host, path = host_and_path(F.col(f"`{url_col}`").cast("string"))
     lengths = sorted({len(r.path) for r in rules})
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    keyed = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths or [0]))
+    depths = sorted({r.host.count(".") + 1 for r in rules})
+    keyed = rows.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths or [0], depths or [1]))
     listed = spark.createDataFrame([(r.key,) for r in rules], "key string")
     universe = keyed.select(F.explode("keys").alias("key")).distinct()
     cascade = spark.sparkContext.broadcast(build_cascade(listed, universe))
