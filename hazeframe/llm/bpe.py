@@ -219,17 +219,21 @@ def _chunks(texts, most: int = 2_000_000):
         yield run
 
 
-def encode_documents(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``) of every whole text.
 
-    Null counts as empty (no tokens); repeated rows give repeated results; other
-    columns are ignored.  Texts of special tokens become those tokens.  The
+    Null counts as empty (no tokens); repeated rows give repeated results; the
+    columns ``keep`` come along unchanged, others are ignored.  An empty table
+    gives no rows; a very long text is a run of its own in its task.  Texts of special tokens become those tokens.  The
     vocabulary travels as one broadcast of fixed size (a few MB).
     """
     ship(docs.sparkSession)
     with open(vocabulary_file, encoding="utf-8") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep])
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(_vocabulary(content.value))
@@ -245,7 +249,10 @@ def encode_documents(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_i
                     done.append(row + (np.array(ids, np.int32),) if with_ids else row)
                 out = pd.DataFrame(done, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
                 out.insert(0, "doc_id", batch["doc_id"].to_numpy()[at:at + len(texts)])
+                for k, name in enumerate(keep):
+                    out[name] = batch[f"kept{k}"].to_numpy()[at:at + len(texts)]
                 at += len(texts)
                 yield out
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"),
+                       *[F.col(f"`{c}`").alias(f"kept{k}") for k, c in enumerate(keep)])
     return rows.mapInPandas(run, schema)

@@ -114,10 +114,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .drop("start", "rank"))
 
 
-def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", schedules=SCHEDULES, **how) -> DataFrame:
+def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", schedules=SCHEDULES,
+                   with_position: bool = False, **how) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns.
 
-    Each copy of a document has its own position: the second pass over a source
+    ``with_position`` adds ``position`` and ``copy`` (from 0), which keep the
+    order for whoever stores the rows; columns of these names in ``docs`` are
+    replaced then.  An empty table gives no rows; texts of any length are
+    counted whole.  Each copy of a document has its own position: the second pass over a source
     comes after its first.  Rows that share id, source and size (repeated rows,
     rows without an id) share the copies that the mix takes of them evenly and
     in turn, the first by digest of their text taking what is left over, so the
@@ -145,4 +149,8 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         turn = F.row_number().over(W.partitionBy(*key).orderBy("digest")) - 1
         sharers = rows.join(shared, match("c")).withColumn("turn", turn)
         out = out.unionByName(sharers.join(places, match("p") & (F.col("turn") == F.col("p_turn"))).select(*columns))
-    return out.repartitionByRange(tasks(docs.sparkSession), "at", "doc_id").sortWithinPartitions("at", "doc_id", "copy").select("row.*")
+    out = out.repartitionByRange(tasks(docs.sparkSession), "at", "doc_id").sortWithinPartitions("at", "doc_id", "copy")
+    if not with_position:
+        return out.select("row.*")
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("position", "copy")]
+    return out.select(*own, F.col("at").alias("position"), "copy")

@@ -96,18 +96,28 @@ lv as (
           / cast(sum(weight) over () - coalesce(sum(weight) over b, 0) as double) as level
   from w window b as (order by most / weight, r rows between unbounded preceding and 1 preceding)),
 t as (
-  select source, source_size, least(cast(most as double), max(level) over () * weight) as target from lv),
+  select source, source_size, r, least(cast(most as double), max(level) over () * weight) as target from lv),
 placed as (
-  select s.doc_id, s.size, t.source_size, t.target,
+  select s.doc_id, s.size, t.source_size, t.target, t.r,
          case when t.source_size > 0 then cast(floor(t.target / t.source_size) as bigint) else 0 end as whole,
          coalesce(sum(s.size) over (partition by s.source order by s.k, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0) as start
-  from sizes s join t on s.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-       cast(size * (whole + case when size > 0 and start + size / 2 <= target - whole * source_size then 1 else 0 end) as bigint) as taken
-from placed
+  from sizes s join t on s.source is not distinct from t.source),
+dealt as (
+  select *, whole + case when size > 0 and start + size / 2 <= target - whole * source_size then 1 else 0 end as copies,
+         case when target > 0 then least(cast(start + size / 2 as double) / target, 1.0::double) else 0.0::double end as share
+  from placed)
+-- first_position: the time at which the integral of the source's schedule (0.5 rising to 1.5; level 1; 1.5 falling to 0.5) reaches its share
+select doc_id, size, source_size, target, cast(size * copies as bigint) as taken,
+       case when copies > 0 then least(1.0::double, case r % 3
+         when 0 then 2 * share / (0.5::double + sqrt(0.25::double + 2 * share))
+         when 1 then share
+         else case when share <= 0.625::double then 2 * share / (1.5::double + sqrt(2.25::double - 2 * share))
+              else 0.5::double + 2 * (share - 0.625::double) / (1.0::double + sqrt(greatest(1.0::double - 2 * (share - 0.625::double), 0.0::double))) end
+         end) end as first_position
+from dealt
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 @registered("op8_html_main_text")
