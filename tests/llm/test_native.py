@@ -94,6 +94,17 @@ def test_copies_follow_the_schedule_to_its_end(docs_frame):
     assert all(r.copies == 3 for r in taken) and len(taken) == 200
 
 
+def test_positions_keep_the_training_order(docs_frame, tmp_path):
+    df = docs_frame([(i, f"a{i} w", "a" if i < 200 else "b") for i in range(1200)]).withColumnRenamed("kept", "Position")
+    out = mixing.training_order(df, weights=(1, 1), with_position=True)
+    assert out.columns == [c for c in df.columns if c != "Position"] + ["position", "copy"]
+    order = [r.doc_id for r in mixing.training_order(df, weights=(1, 1)).collect()]
+    out.repartition(3).write.parquet(str(tmp_path / "corpus"))
+    back = df.sparkSession.read.parquet(str(tmp_path / "corpus")).collect()
+    assert [r.doc_id for r in sorted(back, key=lambda r: (r.position, r.doc_id, r.copy))] == order
+    assert {r.copy for r in back if r.source == "a"} == {0, 1, 2} and len(back) == 1200
+
+
 def digest_of(turns):
     turns = sorted(turns, key=lambda t: (t[0] is not None, t[0], t[1] or "", t[2] or ""))
     said = "".join(f"{r or ''}\n{t or ''}\n" for _, r, t in turns)

@@ -51,6 +51,18 @@ def test_embeddings_against_brute_force(spark):
     assert near_embeddings.embedding_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_extreme_size(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((6, 8))
+    rows = [(k * 10 + j, (base[k] * scale).tolist()) for k in range(6) for j, scale in enumerate((1.0, 1e-200, 1e200, 1e-300, 1e307))]
+    rows += [(100, [5e-324] + [0.0] * 7), (101, [1.0] + [0.0] * 7), (102, [1e308] * 8), (103, [1e-310] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_embeddings.embedding_duplicates(df, threshold=0.999).collect()}
+    for i, _ in rows[:30]:
+        assert got[i] == (4, i // 10 * 10)
+    assert got[100] == (1, 100) and got[101] == (1, 100) and got[102] == (1, 102) and got[103] == (1, 102)
+
+
 def test_suffix_bound_drops_no_pair():
     rng = np.random.default_rng(2)
     x = near_embeddings.unit_rows(np.repeat(rng.standard_normal((30, 40)), 4, 0) + 0.2 * rng.standard_normal((120, 40)))
@@ -124,6 +136,13 @@ def test_url_rules(spark):
     assert url_cascade.judge_urls(df.limit(0)).count() == 0
 
 
+def test_hosts_of_many_labels(spark):
+    long = "x." * 20_000
+    df = spark.createDataFrame([(1, f"http://{long}www.example.com/en/"), (2, f"http://{long}net/es/" + "p" * 100_000), (3, "http://" + "." * 5_000)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_cascade.judge_urls(df).collect()}
+    assert got == {1: ("www.example.com/en/", "allow"), 2: ("net/es/", "block"), 3: (None, "allow")}
+
+
 def test_cascade_is_exact(spark):
     universe = spark.range(20_000).selectExpr("concat('k', id) as key")
     listed = universe.filter("crc32(key) % 37 = 0")
@@ -248,6 +267,28 @@ def test_blocks_of_untidy_pages():
     assert html_blocks.leaf_blocks("<") and html_blocks.leaf_blocks("") == []
 
 
+def test_blocks_behind_hidden_and_broken_markup():
+    said = lambda h: [b.text for b in html_blocks.leaf_blocks(h)]
+    assert said("<p>a<svg class='i'/></p><p>b</p>") == ["a", "b"]
+    assert said("<p>a<svg><svg/><svg>t</svg>u</svg>b</p><p>c<svg>d") == ["ab", "cd"]
+    assert said("<p>a<template>x<template>y</template>z</template>b</p>") == ["ab"]
+    assert said('<p>a</p><p title="q>b</p>') == ["a", "b"]
+    deep = html_blocks.leaf_blocks("<div class='c'>x" * 20_000 + "</p>" * 20_000)
+    assert len(deep) == 20_000 and deep[-1].path.depth == 20_000
+    assert html_blocks.vectors(deep[:3])[2, -1] == 3 / 8
+
+
+def test_sample_of_the_labeller(spark):
+    big = "<article>" + "".join(f"<p>w{i} is long</p>" for i in range(9_000)) + "</article><footer>f</footer>"
+    df = spark.createDataFrame([(big,)] * 40 + [(f"<article><p>t{i}</p></article>",) for i in range(5)] + [(None,), ("",)], "html string")
+    assert len(big) > 60_000 and html_blocks._one_page_per_hash(df.filter("html != ''"), 4).count() == 4
+    assert html_blocks._one_page_per_hash(df.filter("html != ''").repartition(5), 50).count() == 6
+    assert html_blocks.train_labeller(df.filter("html = ''")) is None
+    pages = spark.createDataFrame([(i, f"u{i}", big) for i in range(3)] + [(9, None, "<br>")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in html_blocks.extract_main_text(pages).collect()}
+    assert got[9].text == "" and got[0].text == got[2].text and got[0].n_chars == len(got[0].text)
+
+
 def test_main_text_on_other_wrappers(spark):
     rng = random.Random(9)
     words = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n)) + "."
