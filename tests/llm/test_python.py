@@ -406,3 +406,16 @@ def test_pipeline_drops_copies_of_five_words_and_four_fifths(spark, tmp_path):
     with open(queries.tokenizer_file(), encoding="utf-8") as f:
         encoder = bpe.Encoder(bpe.Vocabulary(f.read()))
     assert all(len(r.ids) == r.n_tokens and encoder.decode(r.ids) == clean[r.doc_id] for r in rows)
+
+
+def test_pipeline_keeps_order_and_foreign_columns(spark, odd_docs, tmp_path):
+    import corpus_pipeline
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(9)], "doc_id long, quality int, toxic int")
+    for name, docs in (("odd", odd_docs.withColumn("position", odd_docs.mark)), ("none", odd_docs.limit(0))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        (labels if name == "odd" else labels.limit(0)).write.parquet(str(tmp_path / name / "labels.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert {1, 4, 5} <= {r.doc_id for r in rows} <= {1, 3, 4, 5, 6, None} and all(0 <= r.position <= 1 and r.copy >= 0 for r in rows)
+    assert max(r.n_tokens for r in rows) >= 60_000
+    none = corpus_pipeline.run(spark, str(tmp_path / "none"))
+    assert none.count() == 0 and none.columns[-2:] == ["position", "copy"]
