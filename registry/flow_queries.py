@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from hazeframe import fixed_values as fv
 from hazeframe.operators import incremental as inc
 from hazeframe.operators import quality, spatial
+from hazeframe.operators.retract import LEVELS, DeltaRollup
 from hazeframe.plans.stored import SOURCES, StoredModels
 from hazeframe.session import shared_folder
 from hazeframe.sources import landing, payloads, schemas, sinks
@@ -236,6 +237,22 @@ def _log(spark, d):
     return R.control(spark, d).filter(F.col("last_run") < F.lit(datetime(2024, 1, 20)))
 
 
+_NEWEST = "(SELECT * FROM (SELECT event_type, value, event_id, date_trunc('hour', ts) AS hour, row_number() OVER (PARTITION BY sk, event_type, date_trunc('hour', ts) ORDER BY event_id DESC) AS r FROM ev) WHERE r = 1 AND event_id % 7 <> 0)"
+_DELTA = " UNION ALL ".join(f"SELECT '{g}' AS level, event_type, CAST(date_trunc('{g}', hour) AS TIMESTAMP) AS at_time, count(*) AS n, avg(value) AS avg_value, max(value) AS max_value, min(value) AS min_value FROM {_NEWEST} GROUP BY 2, 3" for g in ("hour", "day", "month"))
+
+
+@query("delta_rollups", "G2 G3 R1 R2", out(f"({_DELTA})", "level event_type at_time n ~avg_value ~max_value ~min_value"))
+def _(spark, d):
+    """Readings in three batches, dealt by number: later ones replace, withdraw (every seventh) or come late, and change the levels by difference."""
+    e = R.events(spark, d).select("sk", "event_type", F.date_trunc("hour", "ts").alias("timestamp_utc"), "event_id",
+                                  F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    store = DeltaRollup(spark, shared_folder(spark, "delta-rollups"), ["sk", "event_type"], ["event_type"], version="event_id")
+    for k in range(3):
+        store.apply(e.filter(F.col("event_id") % 3 == k), k)
+    levels = [store.level(name).select(F.lit(name).alias("level"), "event_type", F.col("at").cast("timestamp").alias("at_time"), "n", "avg_value", "max_value", "min_value") for name in LEVELS]
+    return reduce(DataFrame.unionByName, levels)
+
+
 @query("high_water_mark", "F1", with_ctes(f"SELECT event_id, ts, user_id FROM events WHERE ts > {_MARK}"))
 def _(spark, d):
     return inc.incremental_filter(R.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id"), _log(spark, d), "source_0", "ts")
