@@ -4,8 +4,8 @@ Three combining steps, each grouping by digest *and* full content: every task
 merges the equal texts it has read (map-side combine), the partial groups meet
 per digest and salt, and the winners of the salts meet per digest.  A hot text
 therefore reaches no task more than once per salt and map task.  The verdicts
-go back to the rows by digest alone; should two different texts ever share a
-digest, the rows of that digest are matched by content.
+go back to the rows by digest alone, those of hot digests by broadcast; should
+two different texts ever share a digest, its rows are matched by content.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeframe.llm.tables import nested, stored, text_or_empty
+from hazeframe.llm.tables import hot_keys, join_spread, nested, stored, text_or_empty
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -37,12 +37,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Other columns of the input are ignored, whatever their names.  Rows that
     repeat both id and text are one document and share one verdict; a null id
-    is kept only where its whole group has none.  An empty table gives no rows.
+    is kept only where its whole group has none.  A text of any length is compared
+    whole.  An empty table gives no rows.
     """
     groups = stored(exact_groups(docs, id_col, text_col, salts).groupBy("digest").agg(
         F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("variants")), "exact-groups")
     rows = _rows(docs, id_col, text_col)
-    out = rows.drop("text").join(groups, "digest", "left")
+    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    out = join_spread(rows.drop("text"), groups, hot_keys(groups, "group_size", total), "digest", "doc_id")
     clashing = groups.filter("variants > 1").select("digest")
     if not clashing.isEmpty():
         odd = rows.join(clashing, "digest", "left_semi")
