@@ -121,6 +121,28 @@ def test_warc_round_trip(spark, tmp_path):
         want.append((i, u, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if revisit else "response", first if revisit else None, h or ""))
     assert sorted(map(tuple, out), key=repr) == sorted(want, key=repr)
     assert warc.archive_round_trip(df.limit(0)).count() == 0
+    shuffled = warc.plan_records(df, broadcast_bytes=0)
+    assert sorted(map(repr, shuffled.collect())) == sorted(map(repr, warc.plan_records(df).collect()))
+
+
+def test_warc_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Pages of 3 MB get archives of their own; a payload on half of the rows and many empty ones resolve as ever."""
+    huge, hot = "h" * 3_000_000, "<p>hot</p>" * 20
+    rows = [(i, f"u{i}", hot if i % 2 else None if i % 3 else f"own {i} " * 20) for i in range(3000)] + [(9000, "a", huge + "1"), (9001, "b", huge), (9002, "c", huge)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = str(tmp_path / "w")
+    for bound in (0, 1 << 26):
+        warc.write_archives(warc.plan_records(df, broadcast_bytes=bound), f"{path}{bound}", records_per_file=256, archive_bytes=1 << 20)
+        out = {r.page_id: r for r in warc.resolve_revisits(warc.read_archives(spark, f"{path}{bound}", with_payload=True)).collect()}
+        assert len(out) == len(rows) and all(out[i].payload == (h or "") for i, _, h in rows)
+        assert all(out[i].refers_to == (1 if i % 2 and i > 1 else None) for i in range(3000))
+        assert out[9002].refers_to == 9001 and out[9000].record_type == "response"
+    per_file = [sum(1 for _ in warc.parse_archive(f.read_bytes())) for f in (tmp_path / "w0").glob("size=2/part-*")]
+    assert per_file and max(per_file) == 1
+    assert warc.size_classes(10, 4000, 1 << 28) == [(-1, 67108, 4000)]
+    assert [m for *_, m in warc.size_classes(1 << 31, 4000, 1 << 28)] == [4000, 250, 15, 1]
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(b"WARC/1.1\r\nContent-Length: 3\r\nWARC-Record-ID: x\r\n\r\nabcd\r\n\r\n"))
 
 
 def test_url_rules(spark):
