@@ -166,8 +166,11 @@ def backfill(df: DataFrame, enrich, step: timedelta, target: str, quarantine: st
     so a rerun after a failure repeats slices without duplicating rows.
 
     Without bounds the slices cover the whole input.  A key may come in several
-    slices: read the result with ``backfilled``.
+    slices: read the result with ``backfilled``.  Rows without an ingest time
+    belong to no slice and are quarantined, see ``quarantined``.
     """
+    (df.filter(F.col("ingest_time").isNull()).withColumns({"quarantine_reason": F.lit("missing_ingest_time"), "source_stage": F.lit("slicing")})
+     .write.mode("overwrite").parquet(f"{quarantine}/slice=none"))
     if start is None or end is None:
         low, high = df.agg(F.min("ingest_time"), F.max("ingest_time")).first()
         if low is None:
@@ -186,6 +189,11 @@ def backfilled(spark: SparkSession, target: str) -> DataFrame:
     return keep_last(spark.read.option("mergeSchema", True).parquet(target).drop("slice"), TRAFFIC_KEYS, "ingest_time", ["raw_payload"])
 
 
+def quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
+    """What a backfill could not place, with ``quarantine_reason`` and ``source_stage``."""
+    return spark.read.option("mergeSchema", True).parquet(quarantine).drop("slice")
+
+
 def replay_delta(df: DataFrame, enrich, watermark: datetime) -> tuple[DataFrame, DataFrame]:
     """Rows that arrived since the backfill began, in target shape."""
     return normalise_traffic(df.filter(F.col("ingest_time") >= F.lit(watermark)), enrich)

@@ -1,8 +1,8 @@
-"""Data-quality checks: each returns the violating rows (empty = pass)."""
+"""Data-quality checks: each returns the violating rows (empty = pass); ``Watch`` counts them while rows are written."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.operators.dedup import final
@@ -45,6 +45,13 @@ def not_between(df: DataFrame, column: str, low, high) -> DataFrame:
     return df.filter(~F.col(column).between(low, high))
 
 
+def row_rules(required: list[str] = (), accepted: dict[str, list] | None = None, between: dict[str, tuple] | None = None) -> dict[str, Column]:
+    """Name of a rule on single rows -> what breaks it."""
+    rules = {f"required {c}": F.col(c).isNull() for c in required}
+    rules |= {f"accepted {c}": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
+    return rules | {f"between {c}": ~F.col(c).between(*v) for c, v in (between or {}).items()}
+
+
 def contract(df: DataFrame, model: str, required: list[str] = (), key: list[str] = (), accepted: dict[str, list] | None = None,
              between: dict[str, tuple] | None = None) -> DataFrame:
     """``model, check, violations`` of the rules declared for a model; a null breaks only ``required``.
@@ -52,10 +59,7 @@ def contract(df: DataFrame, model: str, required: list[str] = (), key: list[str]
     The rules on single rows are counted in one pass; the key needs a grouping
     of its own, whose violations are the surplus rows.
     """
-    rules = {f"required {c}": F.col(c).isNull() for c in required}
-    rules |= {f"accepted {c}": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
-    rules |= {f"between {c}": ~F.col(c).between(*v) for c, v in (between or {}).items()}
-    found = []
+    rules, found = row_rules(required, accepted, between), []
     if rules:
         counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
         found.append(counts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"`{name}`").alias("violations")) for name in rules])).alias("c")).select("c.*"))
@@ -68,6 +72,54 @@ def contract(df: DataFrame, model: str, required: list[str] = (), key: list[str]
     return out.select(F.lit(model).alias("model"), "check", "violations")
 
 
+class ContractBroken(ValueError):
+    """Rows that were to be stored break the rules of their model."""
+
+
+class Watch:
+    """The rules of ``contract``, counted by the job that writes the rows, and judged before they replace anything.
+
+    The rules on single rows, and the share of rows for which ``ok`` holds, come
+    from the write itself; only a ``key`` needs a grouping afterwards, over its
+    own columns of what was written.  ``strict`` raises ``ContractBroken`` when a
+    rule is broken; otherwise the counts are kept and the rows stored.  A share
+    below ``minimum`` counts all rows that are not ``ok`` as violations; no rows
+    break nothing.  A watch serves one write after the other.
+    """
+
+    def __init__(self, model: str, required: list[str] = (), key: list[str] = (), accepted: dict[str, list] | None = None,
+                 between: dict[str, tuple] | None = None, ok: Column | None = None, minimum: float = 0.90, strict: bool = True):
+        self.model, self.key, self.ok, self.minimum, self.strict = model, list(key), ok, minimum, strict
+        self.rules = row_rules(required, accepted, between)
+        self.rows, self.violations = 0, {}
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """``df``, counted as it is written: the write must follow without a shuffle in between."""
+        self._seen = Observation()
+        hit = F.lit(True) if self.ok is None else F.coalesce(self.ok, F.lit(False))
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), F.count_if(hit).alias("succeeded"),
+                          *[F.count_if(bad).alias(name) for name, bad in self.rules.items()])
+
+    def settle(self, written: DataFrame) -> None:
+        """Judge the rows that the observed job wrote."""
+        seen = self._seen.get
+        self.rows = seen["rows"]
+        self.violations = {name: seen[name] for name in self.rules}
+        if self.key:
+            twice = duplicate_keys(written, self.key).agg(F.coalesce(F.sum(F.col("duplicate_count") - 1), F.lit(0))).first()[0]
+            self.violations["unique " + " ".join(self.key)] = twice
+        if self.ok is not None:
+            failed = self.rows - seen["succeeded"]
+            self.violations["success share"] = failed if seen["succeeded"] < self.minimum * self.rows else 0
+        broken = {name: n for name, n in self.violations.items() if n}
+        if broken and self.strict:
+            raise ContractBroken(f"{self.model}: " + ", ".join(f"{name}: {n} of {self.rows} rows" for name, n in broken.items()))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """``model, check, violations`` of the last write: a row per rule."""
+        return spark.createDataFrame([(self.model, name, n) for name, n in self.violations.items()], "model string, check string, violations long")
+
+
 def freshness(df: DataFrame, ts: str, as_of, warn_hours: int = 6, error_hours: int = 12, by: list[str] = ()) -> DataFrame:
     """Latest timestamp against ``as_of``: pass / warn / error."""
     out = df.groupBy(*by).agg(F.max(ts).alias("latest"))

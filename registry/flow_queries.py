@@ -279,25 +279,50 @@ def _(spark, d):
     return inc.success_ratio(R.table(spark, d, "events"), F.col("event_type") != "error", ["user_id"])
 
 
-@query("backfill_counts", "R6 J5 A3", with_ctes("SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS rows_before, count(DISTINCT CASE WHEN event_type <> 'error' THEN user_id::VARCHAR || '/' || date_trunc('hour', ts)::VARCHAR END) AS rows_after, count(*) = count(DISTINCT CASE WHEN event_type <> 'error' THEN user_id::VARCHAR || '/' || date_trunc('hour', ts)::VARCHAR END) AS matches FROM events GROUP BY 1"))
-def _(spark, d):
-    """Legacy rows (no ward) mapped to their nearest ward slice by slice, then counted.
-
-    A user's position is the centroid of its own ward, so each user-hour is one row.
-    """
-    root = shared_folder(spark, "backfill")
+def _legacy_traffic(spark, d, ingest_time=None):
+    """Events as legacy rows (no ward) at the centroid of their user's ward, errors without a latitude; and the mapping to wards."""
     w = R.wards(spark, d).select("ward_code", "latitude", "longitude")
+    time = F.col("ts").cast("timestamp")
     e = R.events(spark, d).withColumn("ward_code", R.padded_code("user_id")).join(w, "ward_code").select(
-        F.col("ts").cast("timestamp").alias("ingest_time"), F.date_trunc("hour", "ts").alias("timestamp_utc"), F.when(F.col("event_type") != "error", F.col("latitude")).alias("latitude"), "longitude",
+        (time if ingest_time is None else ingest_time(time)).alias("ingest_time"), F.date_trunc("hour", "ts").alias("timestamp_utc"), F.when(F.col("event_type") != "error", F.col("latitude")).alias("latitude"), "longitude",
         F.col("k").cast("double").alias("current_speed"), F.lit(60.0).alias("free_flow_speed"))
 
     def enrich(df):
         refs = R.wards(spark, d).select("ward_code", "ward_name", F.col("province").alias("province_name"), "nearest_highway_type", "distance_to_road_km", F.col("latitude").alias("ref_lat"), F.col("longitude").alias("ref_lon"))
         return spatial.nearest_enrich(df, refs, ref_key="ward_code")
+    return e, enrich
+
+
+@query("backfill_counts", "R6 J5 A3", with_ctes("SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS rows_before, count(DISTINCT CASE WHEN event_type <> 'error' THEN user_id::VARCHAR || '/' || date_trunc('hour', ts)::VARCHAR END) AS rows_after, count(*) = count(DISTINCT CASE WHEN event_type <> 'error' THEN user_id::VARCHAR || '/' || date_trunc('hour', ts)::VARCHAR END) AS matches FROM events GROUP BY 1"))
+def _(spark, d):
+    """Legacy rows (no ward) mapped to their nearest ward slice by slice, then counted.
+
+    A user's position is the centroid of its own ward, so each user-hour is one row.
+    """
+    root = shared_folder(spark, "backfill")
+    e, enrich = _legacy_traffic(spark, d)
     inc.backfill(e, enrich, timedelta(days=16), f"{root}/good", f"{root}/bad")
     return inc.reconcile_counts(e, inc.backfilled(spark, f"{root}/good"))
 
 
+@query("backfill_quarantine", "R6 J5", with_ctes("SELECT CASE WHEN user_id % 10 = 0 THEN 'missing_ingest_time' ELSE 'missing_lat_lon' END AS quarantine_reason, CASE WHEN user_id % 10 = 0 THEN 'slicing' ELSE 'legacy_transform' END AS source_stage, CAST(ts AS DATE) AS at_date, count(*) AS n FROM events WHERE user_id % 10 = 0 OR event_type = 'error' GROUP BY ALL"))
+def _(spark, d):
+    """What a backfill sets aside: rows of every tenth user have no ingest time, errors have no position."""
+    root = shared_folder(spark, "backfill")
+    e, enrich = _legacy_traffic(spark, d, lambda time: F.when(F.col("user_id") % 10 != 0, time))
+    inc.backfill(e, enrich, timedelta(days=16), f"{root}/good", f"{root}/bad")
+    return (inc.quarantined(spark, f"{root}/bad").groupBy("quarantine_reason", "source_stage", F.to_date("timestamp_utc").alias("at_date"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("backfill_replay", "R6 A3", with_ctes("SELECT date_trunc('hour', ts) AS timestamp_utc, count(DISTINCT user_id) AS n_wards, max(date_trunc('second', ts)) AS newest FROM events WHERE event_type <> 'error' AND ts >= TIMESTAMP '2024-01-20 12:20:00' GROUP BY 1"))
+def _(spark, d):
+    """The rows that arrived since a backfill began, one per ward and hour."""
+    e, enrich = _legacy_traffic(spark, d)
+    good, _ = inc.replay_delta(e, enrich, datetime(2024, 1, 20, 12, 20))
+    return good.groupBy("timestamp_utc").agg(F.count(F.lit(1)).alias("n_wards"), F.date_trunc("second", F.max("ingest_time")).alias("newest"))
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 def _stream(spark, d):
@@ -447,3 +472,16 @@ def _(spark, d):
     checks = [quality.contract(models[name], name, [*key, "main_pollutant"], key, {"source_mix": _MIXES, "main_pollutant": _PARTS},
                                {"confidence_score": (0, 1), "avg_aqi_us": (0, 500)}) for name, (_, key) in _GRAINS.items()]
     return reduce(DataFrame.unionByName, checks)
+
+
+@query("observed_contracts", "D1 D2 D4 R5", ENTRIES["model_contracts"].sql)
+def _(spark, d):
+    """The counts of ``model_contracts``, taken by the jobs that store the models."""
+    m, reports = R.models(spark, d), []
+    for name, (_, key) in _GRAINS.items():
+        area, grain = name.split("_")
+        watch = quality.Watch(name, [*key, "main_pollutant"], key, {"source_mix": _MIXES, "main_pollutant": _PARTS},
+                              {"confidence_score": (0, 1), "avg_aqi_us": (0, 500)}, strict=False)
+        StoredTable(spark, shared_folder(spark, name)).replace_all((m.ward if area == "ward" else m.province)(grain), watch)
+        reports.append(watch.report(spark))
+    return reduce(DataFrame.unionByName, reports)

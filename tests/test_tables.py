@@ -9,6 +9,7 @@ from hazeframe import session
 from hazeframe.functions import aqi
 from hazeframe.functions.predicates import monthly_where
 from hazeframe.operators import incremental as inc
+from hazeframe.operators.quality import ContractBroken, Watch
 from hazeframe.sources import landing
 from hazeframe.sources.tables import StoredTable
 
@@ -91,6 +92,55 @@ def test_backfill_keeps_one_row_per_key_across_slices(spark, tmp_path):
     assert rows(inc.backfilled(spark, good).select("ward_code", "current_speed")) == [("1", 5.0), ("2", 4.0)]
 
 
+def test_backfill_quarantines_rows_without_ingest_time(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(t, t, 1.0), (None, t, 2.0), (None, None, 3.0)], "timestamp_utc timestamp, ingest_time timestamp, latitude double")
+    enrich = lambda d: (d.withColumns({"ward_code": F.lit("z"), "ward_name": F.lit("x"), "province_name": F.lit("x"), "nearest_highway_type": F.lit("x"),
+                                       "distance_to_road_km": F.lit(1.0)}), d.limit(0).withColumn("quarantine_reason", F.lit("")))
+    for part, good_rows, bad_rows in ((df, 2, [3.0]), (df.filter("ingest_time is null"), 0, [3.0])):
+        good, bad = str(tmp_path / f"good{good_rows}"), str(tmp_path / f"bad{good_rows}")
+        for _ in range(2):
+            inc.backfill(part, enrich, timedelta(days=1), good, bad)
+        assert rows(inc.quarantined(spark, bad).select("quarantine_reason", "source_stage", "latitude")) == [("missing_ingest_time", "slicing", x) for x in bad_rows]
+        assert not good_rows or inc.backfilled(spark, good).count() == good_rows
+
+
+def test_broken_contract_leaves_the_table_as_it_was(spark, tmp_path):
+    schema = "id long, p string, v double"
+    table = StoredTable(spark, str(tmp_path / "w"), "p")
+    watch = Watch("m", ["v"], ["id", "p"], {"p": ["a", "b"]}, {"v": (0, 9)}, F.col("v") > 0, 0.5)
+    table.replace_all(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], schema), watch)
+    assert watch.rows == 2 and set(watch.violations.values()) == {0}
+    before = rows(table.rows())
+    bad = spark.createDataFrame([(1, "a", 0.0), (1, "a", None), (3, "a", 10.0), (4, "a", 0.0)], schema)
+    with pytest.raises(ContractBroken, match="required v: 1 of 4"):
+        table.replace_partitions(bad, ["a"], watch)
+    assert watch.violations == {"required v": 1, "accepted p": 0, "between v": 1, "unique id p": 1, "success share": 3}
+    assert rows(StoredTable(spark, str(tmp_path / "w"), "p").rows()) == before
+    loose = Watch("m", ["v"], strict=False)
+    table.replace_partitions(bad, ["a"], loose)
+    assert rows(loose.report(spark)) == [("m", "required v", 1)] and table.rows().count() == 5
+    table.replace_partitions(bad.limit(0), ["a"], watch)  # no rows break nothing
+    assert watch.rows == 0 and rows(table.rows()) == [(2, 2.0, "b")]
+
+
+def test_rows_that_were_never_judged_are_not_inserted(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "w"), "id long, v double"
+    StoredTable(spark, path).replace_all(spark.createDataFrame([(1, 1.0)], schema))
+    table = StoredTable(spark, path)
+
+    def die(*_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as patch:
+        patch.setattr(Watch, "settle", die)
+        with pytest.raises(KeyboardInterrupt):
+            table.replace_all(spark.createDataFrame([(2, None)], schema), Watch("m", ["v"]))
+    again = StoredTable(spark, path)
+    assert rows(again.rows()) == [(1, 1.0)]
+    again.replace_all(spark.createDataFrame([(3, 3.0)], schema))  # a later write without a watch counts
+    assert rows(again.rows()) == [(3, 3.0)]
+
+
 def test_shared_folder_is_required_on_clusters():
     class Conf:
         def get(self, *_):
