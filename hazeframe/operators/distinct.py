@@ -39,9 +39,13 @@ def day_number(date) -> Column:
 
 
 def distinct_bitmaps(df: DataFrame, by: list[str], number, name: str = "bits") -> DataFrame:
-    """``by, block, <name>``: which numbers occur per group; rows without a number set no bit."""
+    """``by, block, <name>``: which numbers occur per group; rows without a number set no bit.
+
+    Numbers are made distinct and meet as numbers, at most 32,768 per block; half-filled bitmaps are never shuffled.
+    """
     n = F.col(number) if isinstance(number, str) else number
-    return (df.withColumn("_number", n).filter("_number is not null").groupBy(*by, F.bitmap_bucket_number("_number").alias("block"))
+    numbers = df.withColumn("_number", n).filter("_number is not null").select(*by, "_number").distinct()
+    return (numbers.withColumn("block", F.bitmap_bucket_number("_number")).repartition(*by, "block").groupBy(*by, "block")
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias(name)))
 
 
