@@ -44,9 +44,8 @@ def test_weather_is_reduced_before_it_meets_wards(spark):
 
     def tidy(df, at, run):
         return sorted(map(repr, df.select("province", "ward_code", at, *[F.round(c, 9) for c in columns], run).collect()))
-    assert [r.split("ward_code")[1].split("=", 2)[2] if False else r for r in tidy(got.withColumnsRenamed({"datetime_hour": "t", "raw_sync_run_id": "r"}), "t", "r")] == \
+    assert tidy(got.withColumnsRenamed({"datetime_hour": "t", "raw_sync_run_id": "r"}), "t", "r") == \
         tidy(want.withColumnsRenamed({"timestamp_utc": "t", "run": "r"}), "t", "r")
-    # fanned out by the very last join, nothing is shuffled after it
     assert got.filter("ward_code = 'w001'").select("province").distinct().count() == 2
 
 
