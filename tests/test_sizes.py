@@ -49,6 +49,25 @@ def test_weather_is_reduced_before_it_meets_wards(spark):
     assert got.filter("ward_code = 'w001'").select("province").distinct().count() == 2
 
 
+def test_readings_are_not_shuffled_to_find_few_stations(spark):
+    """Stations that come from a join, which Spark guesses to be large, a name in two networks and one without a station."""
+    n = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 0.001).alias("latitude"))
+    stations = n.join(n.select("k", (F.col("k") * 0.002).alias("longitude")), "k").select(
+        F.concat(F.lit("S"), F.col("k").cast("string")).alias("station_name"), F.when(F.col("k") % 2 == 0, "aqiin").otherwise("waqi").alias("station_source"),
+        "latitude", "longitude", F.concat(F.lit("w"), (F.col("k") % 7).cast("string")).alias("ward_code"), F.lit("P").alias("province"))
+    stations = stations.unionByName(stations.filter("station_name = 'S4'").withColumn("station_source", F.lit("waqi")))
+    at = F.timestamp_seconds(1704067200 + F.col("id") % 3 * 1800)
+    raw = spark.range(3_000_000).filter("id < 60").select(
+        F.concat(F.lit("S"), (F.col("id") % 10 + F.when(F.col("id") % 10 == 9, 9000).otherwise(0)).cast("string")).alias("station_name"), at.alias("timestamp_utc"),
+        F.lit("pm25").alias("parameter"), (F.col("id") * 1.0).alias("value"), F.lit("ug").alias("unit"), at.alias("raw_loaded_at"), at.alias("ingest_time"),
+        F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("raw_sync_run_id"), at.alias("raw_sync_started_at"))
+    got = air_quality.observed_for_hours({"aqiin": raw, "waqi": raw}, stations)
+    assert "hashpartitioning(station_name" not in plan_of(got) and "SortMergeJoin" not in plan_of(got)
+    # the latest run of a station and time is one of the last 30 readings; S4 is the same place in both networks
+    want = [(f"w{i % 7}", f"r{r:03}") for i in range(9) for r in range(30, 60) if r % 10 == i]
+    assert sorted(map(tuple, got.select("ward_code", "raw_sync_run_id").collect())) == sorted(want)
+
+
 def test_pairs_of_bands_are_not_shuffled(spark):
     bands = spark.range(300).select(F.lit("p").alias("name"), F.lit(0.0).alias("low"), F.lit(10.0).alias("high"), F.col("id").alias("band"))
     rows = spark.range(100).select(F.lit("p").alias("parameter"), (F.col("id") * 0.2).alias("value"))
