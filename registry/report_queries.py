@@ -13,7 +13,7 @@ from hazeframe.plans import alerts, marts, reports
 from registry import roles as R
 from registry.base import query
 from registry.ctes import AS_OF, AS_OF_DATE, MODE_MIX, case_category, case_index, mode_any, out, with_ctes
-from registry.model_queries import HEALTH_BY_SOURCE_SQL, HEALTH_SQL, M, RANKING, _BIAS, health, trend, weather_rows
+from registry.model_queries import HEALTH_BY_SOURCE_SQL, HEALTH_SQL, M, RANKING, _BIAS, health, trend, weather_values
 
 RANGES = times.comparison_ranges(date(2024, 1, 17), date(2024, 1, 30))
 NOW = "date BETWEEN DATE '2024-01-17' AND DATE '2024-01-30'"
@@ -102,7 +102,7 @@ def _(spark, d):
 
 
 def weather_days(spark, d):
-    return marts.weather_correlation(weather_rows(M(spark, d)))
+    return marts.weather_correlation(weather_values(M(spark, d)))
 
 
 @query("stagnation_leader", "Q6", out(f"(SELECT province, avg(wind_daily_avg) AS avg_wind, avg(stagnant_hours) AS avg_stagnant_hours, avg(pm25_daily_avg) AS avg_pm25 FROM weather_daily WHERE {NOW} GROUP BY province ORDER BY avg_stagnant_hours DESC, avg_pm25 DESC, province LIMIT 1)", "province ~avg_wind ~avg_stagnant_hours ~avg_pm25"))
@@ -274,7 +274,7 @@ def _(spark, d):
 @query("weather_ranking_wards", "Q15", out(f"(SELECT r.* EXCLUDE (ward_code), r.ward_code AS label_key, coalesce(d.ward_name, r.ward_code) AS label_col FROM ({_rank_sql('ward_code')}) r LEFT JOIN dim d ON r.ward_code = d.ward_code)", "label_key label_col ~risk_index ~avg_stag ~avg_disp ~influence_pct"))
 def _(spark, d):
     m = M(spark, d)
-    return reports.weather_ranking(marts.weather_correlation(weather_rows(m)), "pm25", obs(), m.dim)
+    return reports.weather_ranking(marts.weather_correlation(weather_values(m)), "pm25", obs(), m.dim)
 
 
 _SERIES = "time_key ~avg_val ~avg_temp ~avg_hum ~avg_wind ~stagnant_prob"
@@ -289,7 +289,7 @@ _DAYCOLS = ("weather_daily", "pm25_daily_avg", "temp_daily_avg", "humidity_daily
 
 @query("weather_series_hours", "Q15", out("(" + _series_sql("datetime_hour + INTERVAL 7 HOUR", "weather_trend", "pm25", "temperature", "humidity", "wind_speed") + ")", _SERIES))
 def _(spark, d):
-    return reports.weather_series(weather_rows(M(spark, d)), "hour", "pm25", obs())
+    return reports.weather_series(weather_values(M(spark, d)), "hour", "pm25", obs())
 
 
 @query("weather_series_days", "Q15", out("(" + _series_sql("CAST(date AS TIMESTAMP)", *_DAYCOLS) + ")", _SERIES))

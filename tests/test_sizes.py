@@ -68,6 +68,53 @@ def test_readings_are_not_shuffled_to_find_few_stations(spark):
     assert sorted(map(tuple, got.select("ward_code", "raw_sync_run_id").collect())) == sorted(want)
 
 
+def test_readings_are_dealt_once_however_many_stations(spark):
+    """Stations too many to broadcast: raw readings are shuffled by date and station alone, then as a row per time; rows as of ``fuse_observed``."""
+    t0 = datetime(2024, 1, 1)
+    names = [("S1", "aqiin", 10.0, "w1", "P"), ("S1", "waqi", 10.0, "w2", "P"), ("S2", "aqiin", 10.0, "w3", None), ("S2", "waqi", 20.0, None, "Q"), ("S3", "waqi", None, "w1", "P"), ("S3", "waqi", None, "w1", "P")]
+    stations = spark.createDataFrame([(n, lat, 105.0, src, w, p) for n, src, lat, w, p in names], "station_name string, latitude double, longitude double, station_source string, ward_code string, province string")
+
+    def readings(shift):
+        rows = [(f"S{i % 4}" if i % 11 else None, t0 + timedelta(hours=i % 3) if i % 13 else None, ["pm25", "co", "o3", "temp"][i * 7 % 4], None if i % 5 == 0 else i * 1.5 + shift, ["ppm", "ppb", None][i * 5 % 3],
+                 t0 + timedelta(minutes=i // 6 + shift) if i % 17 else None, t0 + timedelta(minutes=i), f"r{i:03}", t0) for i in range(400)]
+        return spark.createDataFrame(rows, "station_name string, timestamp_utc timestamp, parameter string, value double, unit string, raw_loaded_at timestamp, ingest_time timestamp, raw_sync_run_id string, raw_sync_started_at timestamp")
+    raw = {"aqiin": readings(0), "waqi": readings(1)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = air_quality.observed_for_hours(raw, stations)
+        shuffles = [x for x in plan_of(got).splitlines() if "Exchange hashpartitioning(" in x]
+        mine = sorted(map(repr, got.select("ward_code", "province", "timestamp_utc", "parameter", "value", "raw_loaded_at", "raw_sync_run_id", "ingest_time").collect()))
+        plain = air_quality.observed_for_hours(raw, stations, lineage=False)
+        values = sorted(map(repr, plain.select("ward_code", "province", "timestamp_utc", "parameter", "value").collect()))
+        assert set(plain.columns) == set(got.columns) and plain.filter("raw_sync_run_id is not null or ingest_time is not null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    first, second = (air_quality.process_station(air_quality.stage_station(raw[s], s, ["unit", *air_quality.HOURLY_COLUMNS]), stations, s) for s in ("aqiin", "waqi"))
+    fused = dedup.fuse_observed(first, second).filter("parameter <> 'temp'")
+    assert mine == sorted(map(repr, fused.select("ward_code", "province", "timestamp_utc", "parameter", "value", "raw_loaded_at", "raw_sync_run_id", "ingest_time").collect()))
+    assert values == sorted(map(repr, fused.select("ward_code", "province", "timestamp_utc", "parameter", "value").collect()))
+    dealt = [x.split("hashpartitioning(")[1].split("), ")[0].split("#")[0] for x in shuffles]
+    assert dealt.count("date") == 2  # raw readings of the two networks; all others move packed rows or stations
+    assert "Union" not in plan_of(got).split("hashpartitioning(date")[-1]
+
+
+def test_cell_weather_meets_its_places_where_it_was_dealt(spark):
+    t0 = datetime(2024, 1, 1)
+    raw = spark.createDataFrame([("P", "c", t0 + timedelta(minutes=i), *[i * 1.0] * 5, t0, t0, "r", t0) for i in range(100)], "province_name string, weather_cluster string, timestamp_utc timestamp, "
+                                + ", ".join(f"{c} double" for c in air_quality.WEATHER) + ", ingest_time timestamp, raw_loaded_at timestamp, raw_sync_run_id string, raw_sync_started_at timestamp")
+    cells = spark.createDataFrame([("w7", "c", "P", 1)], "place string, weather_cluster string, province string, n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hours = air_quality.weather_place_hourly(raw, cells)
+        uses = plan_of(hours).count("REPARTITION_BY_COL")  # one deal of readings and one of cells for each
+        assert plan_of(hours).count("hashpartitioning(weather_cluster") == 2 * uses > 0
+        assert hours.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_pairs_of_bands_are_not_shuffled(spark):
     bands = spark.range(300).select(F.lit("p").alias("name"), F.lit(0.0).alias("low"), F.lit(10.0).alias("high"), F.col("id").alias("band"))
     rows = spark.range(100).select(F.lit("p").alias("parameter"), (F.col("id") * 0.2).alias("value"))
