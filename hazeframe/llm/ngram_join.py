@@ -13,13 +13,17 @@ Equal sets are merged first.  The others fall into two kinds.
   else; lists of pieces do not.  There are spare pieces: as many as a set may
   leave unlisted because they are empty or hold common shingles only.  What is
   common is told by a table of fixed size that counts every shingle of the
-  corpus; it changes lengths of lists, never results.
+  corpus; it changes lengths of lists, never results.  Most pieces occur in one
+  set only.  The keys of all pieces are gathered first, as a few bytes each, in a
+  table of bits of bounded size; lists hold only the keys whose bit says that they
+  may occur more than once.
 
 The boundary between the kinds is the size at which listing costs more than
 scanning, from the sizes at hand.  Sets that meet in lists form clusters; a
 cluster is cut into blocks of bounded content, and tiles of two blocks count
 overlaps with matrix products.  Blocks first meet themselves and a few common
-pivots; what that has joined already is not compared again.
+pivots; what that has joined already is not compared again.  Texts travel to their
+tiles, since they are smaller than their shingles.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hazeframe.llm.graph import connected_components, local_forest
-from hazeframe.llm.tables import nested, ship, stored, text_or_empty
+from hazeframe.llm.tables import freeing_shuffles, nested, scratch, ship, stored, text_or_empty
 
 _RANDOM = np.random.default_rng(20240101).integers(0, 2**63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -232,11 +236,54 @@ def common_slots(counts: np.ndarray) -> np.ndarray:
     return counts > mean + 10 * np.sqrt(mean) + 20
 
 
-def _marks_and_counts(words: int):
-    """A row per document, and at the end of a task its counts by blocks of slots; equal sets it has just seen count once."""
+#: Bits of a key that tell whether it occurs again, and how many of them name its shard.
+KEY_BITS, SHARD_BITS = 40, 12
+#: Most bits of the table of repeated keys (32 MiB), and so many keys are packed at once.
+MOST_REPEAT_BITS, PACKED_AT_ONCE = 28, 2_000_000
+_MARKS = "doc_id long, n_shingles long, mark long, block int, counts binary, shard int, keys binary"
+
+
+def _marks_frame(**columns) -> pd.DataFrame:
+    rows = len(next(iter(columns.values())))
+    empty = {"doc_id": pd.Series(None, range(rows), "Int64"), "n_shingles": 0, "mark": 0, "block": pd.Series(None, range(rows), "Int32"), "counts": None,
+             "shard": pd.Series(None, range(rows), "Int32"), "keys": None}
+    return pd.DataFrame(empty | columns)
+
+
+def pack_keys(keys: np.ndarray) -> pd.DataFrame:
+    """``shard, keys``: per shard the sorted keys as differences, cut to the bytes they need; equal keys stay equal."""
+    h = np.sort(keys >> np.uint64(64 - KEY_BITS))
+    low = np.uint64(KEY_BITS - SHARD_BITS)
+    edges = np.searchsorted(h, np.arange((1 << SHARD_BITS) + 1, dtype=np.uint64) << low)
+    shards = np.flatnonzero(np.diff(edges))
+    steps = np.diff(h, prepend=np.uint64(0))
+    steps[edges[shards]] = h[edges[shards]] & np.uint64((1 << int(low)) - 1)
+    raw = steps.astype("<u4").view(np.uint8).reshape(-1, 4)
+    packed = []
+    for k in shards:
+        rows = raw[edges[k]:edges[k + 1]]
+        width = 4 if rows[:, 3].any() else 3
+        packed.append(bytes([width]) + rows[:, :width].T.tobytes())
+    return pd.DataFrame({"shard": shards.astype(np.int32), "keys": packed})
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    """The keys of a shard, without the bits that name the shard, sorted."""
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    return np.cumsum(sum(p.astype(np.uint64) << np.uint64(8 * i) for i, p in enumerate(planes)), dtype=np.uint64)
+
+
+def _marks_and_counts(words: int, measure: Measure | None):
+    """A row per document, and at the end of a task its counts by blocks of slots; equal sets it has just seen count once.
+
+    With ``measure``, also the keys of all pieces that the sets may list, packed by shard.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << SLOT_BITS, np.int64)
+        nothing = np.zeros(1 << SLOT_BITS, bool)
         seen: set[int] = set()
+        pieces: list[np.ndarray] = []
+        held = 0
         for b in batches:
             sets = [shingle_set(t, words) for t in b["text"]]
             marks = [mark_of(s) for s in sets]
@@ -246,13 +293,53 @@ def _marks_and_counts(words: int):
             seen.update(marks)
             if new:
                 counts += np.bincount(slot_of(np.concatenate(new)), minlength=len(counts))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_shingles": [len(s) for s in sets], "mark": marks, "block": pd.Series(None, b.index, "Int32"), "counts": None})
+            for s in new if measure else []:
+                if len(s):
+                    pieces.append(piece_keys(s, measure, 0, nothing))
+                    held += len(pieces[-1])
+                if held > PACKED_AT_ONCE:
+                    yield _marks_frame(**pack_keys(np.concatenate(pieces)))
+                    pieces, held = [], 0
+            yield _marks_frame(doc_id=b["doc_id"].reset_index(drop=True), n_shingles=[len(s) for s in sets], mark=marks)
+        if held:
+            yield _marks_frame(**pack_keys(np.concatenate(pieces)))
         blocks = counts.reshape(-1, 1 << BLOCK_BITS)
         used = np.flatnonzero(blocks.any(axis=1))
-        yield pd.DataFrame({"doc_id": pd.Series(None, range(len(used)), "Int64"), "n_shingles": 0, "mark": 0, "block": pd.Series(used, dtype="Int32"), "counts": [x.astype("<u4").tobytes() for x in blocks[used]]})
+        yield _marks_frame(block=pd.Series(used, dtype="Int32"), counts=[x.astype("<u4").tobytes() for x in blocks[used]])
+    return run
+
+
+def _repeated(bits: int):
+    """For every shard the bits of the keys that occur more than once; rows arrive sorted by shard and are kept by shard only."""
+    def bits_of(held: list[np.ndarray]) -> bytes | None:
+        h = np.sort(np.concatenate(held))
+        again = h[1:][h[1:] == h[:-1]]
+        if not len(again):
+            return None
+        table = np.zeros(1 << bits, bool)
+        table[(again >> np.uint64(KEY_BITS - SHARD_BITS - bits)).astype(np.int64)] = True
+        return np.packbits(table).tobytes()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, held = None, []
+        for b in batches:
+            for at, raw in zip(b["shard"], b["keys"]):
+                if at != shard:
+                    if held and (found := bits_of(held)):
+                        yield pd.DataFrame({"shard": [shard], "bits": [found]})
+                    shard, held = at, []
+                held.append(unpack_keys(raw))
+        if held and (found := bits_of(held)):
+            yield pd.DataFrame({"shard": [shard], "bits": [found]})
     return run
 
 
+def may_repeat(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether the keys may occur more than once in the corpus; those that do always may."""
+    at = (keys >> np.uint64(64 - int(8 * len(table)).bit_length() + 1)).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of each block added up; rows arrive sorted by block and are not kept."""
     block, total = None, None
@@ -272,20 +359,39 @@ def shingle_marks(docs: DataFrame, id_col: str, text_col: str, words: int) -> tu
 
     The counts reach the driver as one table of fixed size, however large the corpus.
     """
-    schema = "doc_id long, n_shingles long, mark long, block int, counts binary"
-    both = stored(_texts(docs, id_col, text_col).mapInPandas(_marks_and_counts(words), schema), "shingle-marks")
-    parts = both.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+    both = stored(_texts(docs, id_col, text_col).mapInPandas(_marks_and_counts(words, None), _MARKS), "shingle-marks")
+    return _marks_of(both), _counts_of(both)
+
+
+def _marks_of(both: DataFrame) -> DataFrame:
+    return both.filter("block is null and shard is null").select("doc_id", "n_shingles", "mark")
+
+
+def _counts_of(both: DataFrame) -> np.ndarray:
     counts = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.int64)
-    for row in parts.mapInPandas(_summed, "block int, counts binary").collect():
-        counts[row.block] = np.frombuffer(row.counts, np.int64)
-    return both.filter("block is null").select("doc_id", "n_shingles", "mark"), np.minimum(counts.ravel(), 2**32 - 1).astype(np.uint32)
+    with freeing_shuffles(both.sparkSession):
+        parts = both.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+        for row in parts.mapInPandas(_summed, "block int, counts binary").collect():
+            counts[row.block] = np.frombuffer(row.counts, np.int64)
+    return np.minimum(counts.ravel(), 2**32 - 1).astype(np.uint32)
+
+
+def _repeats_of(both: DataFrame, shingles: int) -> np.ndarray:
+    """``may_repeat``'s table, of a size that follows the corpus up to a bound; a table that is too small lets more keys pass."""
+    bits = min(MOST_REPEAT_BITS, max(SHARD_BITS + 3, int(shingles).bit_length())) - SHARD_BITS
+    table = np.zeros((1 << SHARD_BITS, 1 << bits >> 3), np.uint8)
+    with freeing_shuffles(both.sparkSession):
+        parts = both.filter("shard is not null").select("shard", "keys").repartition("shard").sortWithinPartitions("shard")
+        for row in parts.mapInPandas(_repeated(bits), "shard int, bits binary").collect():
+            table[row.shard] = np.frombuffer(row.bits, np.uint8)
+    return table.ravel()
 
 
 PIECE = 2  # role of rows in piece lists; rows of subset lists have 0 or 1
 
 
-def _list_keys(measure: Measure, boundary: int, words: int, common: np.ndarray):
-    """Rows ``key, role, mark`` of every set.  A task gives equal sets it has just seen once."""
+def _list_keys(measure: Measure, boundary: int, words: int, common: np.ndarray, repeats: np.ndarray):
+    """Rows ``key, role, mark`` of every set, without pieces that no other set has.  A task gives equal sets it has just seen once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for b in batches:
@@ -301,6 +407,7 @@ def _list_keys(measure: Measure, boundary: int, words: int, common: np.ndarray):
                 kinds = [subset_keys(s, measure, boundary)] if len(s) <= measure.largest(boundary) else []
                 if len(s) > boundary:
                     k = piece_keys(s, measure, boundary, common)
+                    k = k[may_repeat(k, repeats)]
                     kinds.append((k, np.full(len(k), PIECE, np.int8)))
                 for k, role in kinds:
                     marks.append(np.full(len(k), mark, np.int64)), keys.append(k), roles.append(role)
@@ -336,12 +443,12 @@ def _first_of_list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, first, first_role = k[-1], owner[-1], owner_role[-1]
 
 
-def _tile_links(measure: Measure):
+def _tile_links(measure: Measure, words: int):
     """Links within a tile as a spanning forest; counts come from products of 0/1 matrices over shared shingles."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("mark").sort_values(["side", "n_shingles", "mark"])
+        group = group.sort_values(["side", "n_shingles", "mark"]).drop_duplicates("mark")
         ids, n, side = (group[c].to_numpy(np.int64) for c in ("mark", "n_shingles", "side"))
-        flat = np.frombuffer(b"".join(group["shingles"]), np.uint64)
+        flat = np.concatenate([shingle_set(t, words) for t in group["text"]])
         owner = np.repeat(np.arange(len(ids)), n)
         _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
         shared = count[token] > 1
@@ -387,31 +494,27 @@ def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3, id_co
     smallest id; no link between different sets is left out.  Shingles and whole
     sets are told apart by 64-bit hashes.  Other columns are ignored.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     measure = Measure(percent)
-    marks, counts = shingle_marks(docs, id_col, text_col, words)
-    common = common_slots(counts)
-    classes = stored(marks.filter("n_shingles > 0 and doc_id is not null").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("class_id")), "shingle-classes")
-    small = {r["n_shingles"]: r["count"] for r in classes.filter("n_shingles <= 64").groupBy("n_shingles").count().collect()}  # 64 rows at most
-    boundary = choose_boundary(measure, small)
-
-    named = _texts(docs, id_col, text_col).filter("doc_id is not null")
-    lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words, common), "key long, role byte, mark long")
-    ties = stored(lists.repartition("key").sortWithinPartitions("key", "role", "mark").mapInPandas(_first_of_list, "sure boolean, a long, b long").distinct(), "list-ties")
-    clusters = connected_components(ties.filter("not sure").select("a", "b"), "list-clusters").select(F.col("node").alias("mark"), F.col("component").alias("cluster"))
-    wanted = classes.join(clusters, "mark").select(F.col("class_id").alias("doc_id"), F.col("mark").alias("wanted"), "cluster")
-
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.iloc[at:at + 500]
-                sets = [shingle_set(t, words) for t in part["text"]]
-                right = np.array([mark_of(s) for s in sets], np.int64) == part["wanted"].to_numpy()  # an id may come with several texts
-                yield pd.DataFrame({"mark": part["wanted"], "cluster": part["cluster"], "n_shingles": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})[right]
-    members = stored(named.join(wanted, "doc_id").mapInPandas(fetch, "mark long, cluster long, n_shingles long, shingles binary").dropDuplicates(["mark"]), "cluster-members")
-    links = _cluster_links(members, measure, block_shingles, pivots).unionByName(ties.filter("sure").select("a", "b"))
-    # components go by marks; their name is the smallest id of their classes
-    parts = stored(connected_components(links, "shingle-components").withColumnRenamed("node", "mark"), "mark-components")
+    named = _texts(docs, id_col, text_col)
+    with scratch(spark) as keep:
+        both = stored(named.mapInPandas(_marks_and_counts(words, measure), _MARKS), "marks-and-keys")
+        marks, counts = keep(_marks_of(both), "shingle-marks"), _counts_of(both)
+        common, repeats = common_slots(counts), _repeats_of(both, int(counts.sum(dtype=np.int64)))
+    with scratch(spark) as keep:
+        classes = keep(marks.filter("n_shingles > 0 and doc_id is not null").groupBy("mark", "n_shingles").agg(F.min("doc_id").alias("class_id")), "shingle-classes")
+        small = {r["n_shingles"]: r["count"] for r in classes.filter("n_shingles <= 64").groupBy("n_shingles").count().collect()}  # 64 rows at most
+        boundary = choose_boundary(measure, small)
+
+        named = named.filter("doc_id is not null")
+        lists = named.select("text").mapInPandas(_list_keys(measure, boundary, words, common, repeats), "key long, role byte, mark long")
+        ties = stored(lists.repartition("key").sortWithinPartitions("key", "role", "mark").mapInPandas(_first_of_list, "sure boolean, a long, b long").distinct(), "list-ties")
+        clusters = connected_components(ties.filter("not sure").select("a", "b"), "list-clusters").select(F.col("node").alias("mark"), F.col("component").alias("cluster"))
+        members = stored(classes.join(clusters, "mark").select("mark", "n_shingles", "cluster", F.col("class_id").alias("member_id")), "cluster-members")
+        links = _cluster_links(members, named, measure, words, block_shingles, pivots).unionByName(ties.filter("sure").select("a", "b"))
+        # components go by marks; their name is the smallest id of their classes
+        parts = keep(connected_components(links, "shingle-components").withColumnRenamed("node", "mark"), "mark-components")
     joined = classes.join(parts, "mark", "left").withColumn("component", F.coalesce("component", "mark"))
     names = joined.groupBy("component").agg(F.min("class_id").alias("component_id"))
     of_class = joined.join(names, "component").select(F.col("mark").alias("c_mark"), F.col("n_shingles").alias("c_n"), "class_id", "component_id")
@@ -420,8 +523,34 @@ def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3, id_co
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def _cluster_links(members: DataFrame, measure: Measure, block_shingles: int, pivots: int) -> DataFrame:
-    tile = _tile_links(measure)
+def _texts_at(seats: DataFrame, members: DataFrame, named: DataFrame, words: int) -> DataFrame:
+    """``mark, n_shingles, tile, side, text`` of seats ``mark, tile, side``: a text goes by its id once, then to its tiles.
+
+    A tile's side is the last bit of the number that travels.  An id may come with several texts, of
+    which the one with the mark is taken, and with repeated rows, of which a task gives those it has just seen once.
+    """
+    number = F.col("tile").bitwiseAND(F.lit(-2).cast("long")).bitwiseOR(F.col("side").cast("long"))
+    wanted = members.join(seats.groupBy("mark").agg(F.collect_set(number).alias("at")), "mark").select("member_id", "mark", "n_shingles", "at")
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
+        for b in batches:
+            good = np.zeros(len(b), bool)
+            for i, (mark, text) in enumerate(zip(b["mark"], b["text"])):
+                if mark not in seen and mark_of(shingle_set(text, words)) == mark:
+                    good[i] = True
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(mark)
+            yield b[good]
+    found = named.join(wanted, F.col("doc_id") == F.col("member_id")).select("mark", "n_shingles", "at", "text").mapInPandas(
+        fetch, "mark long, n_shingles long, at array<long>, text string")
+    return found.select("mark", "n_shingles", F.explode("at").alias("tile"), "text").select(
+        "mark", "n_shingles", F.col("tile").bitwiseAND(F.lit(-2).cast("long")).alias("tile"), F.col("tile").bitwiseAND(F.lit(1).cast("long")).alias("side"), "text")
+
+
+def _cluster_links(members: DataFrame, named: DataFrame, measure: Measure, words: int, block_shingles: int, pivots: int) -> DataFrame:
+    tile = _tile_links(measure, words)
     slim = members.select("mark", "n_shingles", "cluster")
     content = slim.groupBy("cluster").agg(F.sum("n_shingles").alias("content"))
     blocks = F.ceil(F.col("content") / block_shingles).cast("long")
@@ -429,9 +558,8 @@ def _cluster_links(members: DataFrame, measure: Measure, block_shingles: int, pi
     # round 1: every block with itself and, where a cluster has several, with common pivots
     ranked = dealt.filter("blocks > 1").withColumn("place", F.row_number().over(W.partitionBy("cluster").orderBy(F.xxhash64("mark", F.lit(1)), "mark"))).filter(F.col("place") <= pivots)
     shared = ranked.select("mark", "cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    seats = dealt.select("mark", "cluster", "block").unionByName(shared).distinct()
-    first = stored(seats.join(members.select("mark", "n_shingles", "shingles"), "mark").withColumn("side", F.lit(0))
-                   .groupBy("cluster", "block").applyInPandas(tile, "a long, b long"), "tiles-own")
+    seats = dealt.select("mark", "cluster", "block").unionByName(shared).select("mark", F.xxhash64("cluster", "block").alias("tile"), F.lit(0).alias("side"))
+    first = stored(_texts_at(seats, members, named, words).groupBy("tile").applyInPandas(tile, "a long, b long"), "tiles-own")
     large = stored(dealt.filter("blocks > 1").select("mark", "n_shingles", "cluster"), "large-clusters")
     if large.isEmpty():
         return first
@@ -450,8 +578,8 @@ def _cluster_links(members: DataFrame, measure: Measure, block_shingles: int, pi
     pairs = one.join(two, "cluster").filter(order & apart & near).withColumn("tile", F.xxhash64("cluster", "own1", "block1", "own2", "block2"))
     sides = pairs.select("tile", "cluster", F.col("own1").alias("own"), F.col("block1").alias("block"), F.lit(0).alias("side")).unionByName(
         pairs.filter("own1 <> own2 or block1 <> block2").select("tile", "cluster", F.col("own2").alias("own"), F.col("block2").alias("block"), F.lit(1).alias("side")))
-    second = (sides.join(known.drop("n_shingles"), ["cluster", "own", "block"]).select("tile", "side", "mark")
-              .join(members.select("mark", "n_shingles", "shingles"), "mark").groupBy("tile").applyInPandas(tile, "a long, b long"))
+    seats = sides.join(known.drop("n_shingles"), ["cluster", "own", "block"]).select("mark", "tile", "side")
+    second = _texts_at(seats, members, named, words).groupBy("tile").applyInPandas(tile, "a long, b long")
     return first.unionByName(stored(second, "tiles-across"))
 
 

@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeframe.session import shared_folder
+from hazeframe.session import freeing_shuffles, scratch, stored
+
+__all__ = ["WORD", "freeing_shuffles", "hot_keys", "join_spread", "nested", "scratch", "ship", "stored", "table", "tasks", "text_or_empty"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,16 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once below ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage: a lost executor costs the readers nothing but a re-read.
-    """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 

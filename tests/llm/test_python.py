@@ -3,10 +3,13 @@
 import hashlib
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from hazeframe import session
 from hazeframe.llm import bpe, graph, html_blocks, near_embeddings, ngram_join, queries, toxicity, url_cascade, warc
 
 
@@ -273,6 +276,49 @@ def test_unrelated_documents_do_not_meet(docs_frame, words, percent):
     assert sum(n > 1 for n in keys.values()) == 0
 
 
+def test_keys_that_occur_again_are_always_found(spark):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 2**64, 60_000, dtype=np.uint64)
+    parts = [keys[:30_000], np.concatenate([keys[30_000:], keys[:2000]]), np.array([7, 7], np.uint64)]
+    packed = pd.concat([ngram_join.pack_keys(p) for p in parts])
+    assert sum(map(len, packed["keys"])) < 5.1 * len(keys)  # some 4 bytes where few keys share a shard
+    h = np.sort(np.concatenate([ngram_join.unpack_keys(raw) | (np.uint64(at) << np.uint64(28)) for at, raw in zip(packed["shard"], packed["keys"])]))
+    assert np.array_equal(h, np.sort(np.concatenate(parts) >> np.uint64(24)))
+    ngram_join.ship(spark)
+    both = spark.createDataFrame([(int(a), bytes(b)) for a, b in zip(packed["shard"], packed["keys"])], "shard int, keys binary")
+    for shingles in (1, 100_000, 10**9):
+        table = ngram_join._repeats_of(both, shingles)
+        assert len(table) <= 2**25 and ngram_join.may_repeat(np.concatenate([keys[:2000], parts[2]]), table).all()
+        assert shingles == 1 or ngram_join.may_repeat(keys[2000:], table).mean() < 0.1
+
+
+def test_near_copies_leave_little_behind(spark, docs_frame, monkeypatch):
+    """Lists hold what several sets have, texts reach their tiles without a stored copy, and steps are removed with their shuffle files."""
+    used = {}
+
+    def noted(df, purpose):
+        used[purpose] = session.stored(df, purpose)
+        return used[purpose]
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(200)), "s") for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " more", "s") for i in range(5)]
+    docs = docs_frame(rows)
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs, percent=80, words=5).collect()}
+    assert sorted(i for i, c in got.items() if i != c) == [1000, 1001, 1002, 1003, 1004]
+    assert "shingles" not in used["cluster-members"].columns
+    assert not any(Path(df._jdf.inputFiles()[0].removeprefix("file:")).exists() for df in used.values())
+    measure = ngram_join.Measure(80)
+    sets = [ngram_join.shingle_set(t, 5) for _, t, _ in rows]
+    packed = pd.concat([ngram_join.pack_keys(ngram_join.piece_keys(s, measure, 0, np.zeros(1 << ngram_join.SLOT_BITS, bool))) for s in sets])
+    ngram_join.ship(spark)
+    table = ngram_join._repeats_of(spark.createDataFrame([(int(a), bytes(b)) for a, b in zip(packed["shard"], packed["keys"])], "shard int, keys binary"), sum(map(len, sets)))
+    nothing = np.zeros(1 << ngram_join.SLOT_BITS, bool)
+    frames = list(ngram_join._list_keys(measure, 0, 5, nothing, table)(iter([pd.DataFrame({"text": [t for _, t, _ in rows]})])))
+    every = sum(len(ngram_join.piece_keys(s, measure, 0, nothing)) for s in sets)
+    assert sum(map(len, frames)) < 0.15 * every
+
+
 def test_jaccard_of_five_words_and_four_fifths(docs_frame):
     rows = near_copies(5, 260, [30, 60, 150])
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs_frame(rows).repartition(5), percent=80, words=5).collect()}
