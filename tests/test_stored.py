@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+from hazeframe.functions import geo
 from hazeframe.operators import rollup
 from hazeframe.plans.air_quality import AirQualityModels
 from hazeframe.plans.stored import StoredModels, day_ranges
@@ -100,3 +101,37 @@ def test_stored_facts_meet_without_a_shuffle(spark, tmp_path):
         assert rows(got, want.columns) == rows(want, want.columns) and got.count() > 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def weather_rows(spark, readings):
+    rows = [("openweather", "Huế", "16.0_107.0", 16.0, 107.0, at, temp, 18.0, 22.0, 20.0, 60.0, 1010, 9000, 0.5, 90, 10, *stamped(loaded, run)) for at, temp, loaded, run in readings]
+    raw = spark.createDataFrame(rows, "source string, province_name string, weather_cluster string, cluster_lat double, cluster_lon double, timestamp_utc timestamp, temp double, temp_min double, "
+                                       f"temp_max double, feels_like double, humidity double, pressure int, visibility int, wind_speed double, wind_deg int, clouds_all int, {STAMPS}")
+    return raw.withColumn("weather_cluster", geo.grid_key("cluster_lat", "cluster_lon"))
+
+
+def test_weather_is_stored_once_for_the_wards_of_a_place(spark, tmp_path):
+    store, raw = StoredModels(spark, str(tmp_path), buckets=2), raw_tables(spark, late=True)
+    ward = ("00001", "one", "Huế", 16.0, 107.0, 5000.0, 9.0)
+    kinds = raw["wards"].schema
+    first = datetime(2024, 2, 4)
+    raw["wards"] = spark.createDataFrame([ward, *[(f"1{k:04d}", "x", "Huế", 16.01, 107.01, 1.0, 1.0) for k in range(40)]], kinds)
+    raw["weather"] = weather_rows(spark, [(at, 20.0, first, "run-1") for at in (JAN, FEB)])
+    store.run(raw)
+    got = store.unified_environment(raw["wards"])
+    want = AirQualityModels(raw).unified_env
+    assert rows(got, want.columns) == rows(want, want.columns) and got.filter("temperature = 20").count() > 1
+    assert store.layer("weather_place_hour").count() == 2 and not store.table("weather_hour").exists()
+    whole = AirQualityModels(raw).weather_hourly
+    by_ward = store.layer("weather_hour")
+    assert sorted(by_ward.columns) == sorted(whole.columns) and rows(by_ward, whole.columns) == rows(whole, whole.columns) and by_ward.count() == 82
+
+    # other wards from the second run on: hours that no new row touches keep the wards they had
+    later = raw | {"wards": spark.createDataFrame([ward, ("20000", "y", "Huế", 16.0, 107.0, 1.0, 1.0)], kinds),
+                   "weather": weather_rows(spark, [(JAN, 20.0, first, "run-1"), (FEB, 20.0, first, "run-1"), (FEB, 25.0, datetime(2024, 2, 6), "run-9")])}
+    store.run(later)
+    by_ward = store.layer("weather_hour")
+    assert by_ward.filter(by_ward.datetime_hour == JAN).count() == 41
+    assert sorted(r.ward_code for r in by_ward.filter(by_ward.datetime_hour == FEB).collect()) == ["00001", "20000"]
+    seen = {(r.datetime_hour, r.temperature) for r in store.unified_environment(later["wards"]).filter("ward_code = '00001' and temperature is not null").collect()}
+    assert seen == {(JAN, 20.0), (FEB, 25.0)}
