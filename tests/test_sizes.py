@@ -99,6 +99,29 @@ def test_readings_are_dealt_once_however_many_stations(spark):
     assert "Union" not in plan_of(got).split("hashpartitioning(date")[-1]
 
 
+def test_observed_rows_are_dealt_by_position(spark):
+    """Networks are placed in steps of their own; then rows without what follows from them go by position and date; rows as of ``fuse_observed``."""
+    t0 = datetime(2024, 1, 1)
+    names = [("S1", "aqiin", 10.0, "w1", "P"), ("S1", "waqi", 10.00001, "w2", "P"), ("S2", "aqiin", 0.0, "w3", None), ("S3", "aqiin", -0.00001, "w4", "Q"), ("S2", "waqi", 20.0, None, "Q"), ("S3", "waqi", None, "w1", "P")]
+    stations = spark.createDataFrame([(n, lat, 105.0, src, w, p) for n, src, lat, w, p in names], "station_name string, latitude double, longitude double, station_source string, ward_code string, province string")
+
+    def readings(shift):
+        rows = [(f"S{i % 4}" if i % 11 else None, t0 + timedelta(hours=i % 30) if i % 13 else None, ["pm25", "co", "o3", "temp", None][i * 7 % 5], None if i % 5 == 0 else i * 1.5 + shift, ["ppm", "ppb", None][i * 5 % 3], i % 9, "valid" if i % 2 else None,
+                 t0 + timedelta(minutes=i + shift) if i % 17 else None, t0 + timedelta(minutes=i), f"r{i:03}", t0) for i in range(600)]
+        return spark.createDataFrame(rows, "station_name string, timestamp_utc timestamp, parameter string, value double, unit string, aqi_reported int, quality_flag string, raw_loaded_at timestamp, ingest_time timestamp, raw_sync_run_id string, raw_sync_started_at timestamp")
+    models = air_quality.AirQualityModels({"aqiin": readings(0), "waqi": readings(1), "stations": stations})
+    got, want = models.observed_processed, dedup.fuse_observed(models.processed("aqiin"), models.processed("waqi"))
+    assert got.columns == want.columns
+
+    def rows_of(df):
+        return sorted(repr(tuple(x)) for x in df.select(*[F.col(c) + 0.0 if c.endswith("_rounded") else c for c in want.columns]).collect())
+    assert rows_of(got) == rows_of(want) and got.count() > 50
+    shuffles = [x for x in plan_of(got).splitlines() if "Exchange" in x]
+    assert len(shuffles) == 1 and "hashpartitioning(_position" in shuffles[0]
+    moved = plan_of(got).split("hashpartitioning(_position")[1]
+    assert "aqi_us" not in moved and "region_3" not in moved
+
+
 def test_cell_weather_meets_its_places_where_it_was_dealt(spark):
     t0 = datetime(2024, 1, 1)
     raw = spark.createDataFrame([("P", "c", t0 + timedelta(minutes=i), *[i * 1.0] * 5, t0, t0, "r", t0) for i in range(100)], "province_name string, weather_cluster string, timestamp_utc timestamp, "
