@@ -228,6 +228,37 @@ def test_many_bands_of_one_key(spark):
     assert [tuple(x) for x in joins.band_join_cells(df, table.limit(0), *args).filter("parameter = 'q'").collect()] == [("q", 0.0, None), ("q", 1.0, None)]
 
 
+def test_bands_of_uneven_cells(spark, monkeypatch):
+    """Dealt at the coarsest level, at a finer one, and not at all: the same pairs."""
+    r = random.Random(18)
+    bands = [("p", x, x + w, i) for i, (x, w) in enumerate((r.uniform(0, 500), r.choice([0.1, 2.0, 30.0, 400.0])) for _ in range(300))] + [("p", 450.0, float("inf"), 900)]
+    values = [("p", r.uniform(-50, 600)) for _ in range(500)] + [("p", 77.0)] * 60 + [("x", 1.0), (None, 1.0), ("p", None)]
+    df, table = spark.createDataFrame(values, "parameter string, value double"), spark.createDataFrame(bands, "name string, low double, high double, band int")
+    args = ("parameter", "value", "name", "low", "high")
+    want = sorted(map(repr, joins.band_join(df, table, *args).collect()))
+    for least in (100_000, 150, 70, 0):
+        monkeypatch.setattr(joins, "DEALT_AT_LEAST", least)
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        try:
+            assert sorted(map(repr, joins.band_join_cells(df, table, *args).collect())) == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_rows_of_bands_are_dealt_once(spark):
+    bands = spark.range(5000).select(F.lit("p").alias("name"), (F.col("id") * 3.0).alias("low"), (F.col("id") * 3.0 + F.when(F.col("id") % 7 == 0, 50.0).otherwise(0.5)).alias("high"), F.col("id").alias("band"))
+    rows = spark.range(20_000).select(F.lit("p").alias("parameter"), (F.col("id") * 0.7).alias("value"), F.col("id").alias("n"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.band_join_cells(rows, bands, "parameter", "value", "name", "low", "high")
+        plan = plan_of(got)
+        assert plan.count("hashpartitioning(_deal") == 2 and "hashpartitioning(_id" not in plan and "_level#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+        assert got.filter("band is null").select("n").distinct().count() + got.filter("band is not null").select("n").distinct().count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_hundred_thousand_bands(spark):
     bands = spark.range(100_000).select(F.lit("p").alias("name"), F.col("id").cast("double").alias("low"), (F.col("id") + 0.5).alias("high"), F.col("id").alias("band"))
     rows = spark.range(200_000).select(F.lit("p").alias("parameter"), (F.col("id") * 0.5 + 0.25).alias("value"))
